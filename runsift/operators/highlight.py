@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runsift.functions.text import chunks, html_line_ends, pieces
 from runsift.schemas import FRAGMENT_CHARS, KEY, MAX_FRAGMENTS
+from runsift.sources.document_table import pick
 
 
 def highlight_terms(analysed: DataFrame) -> DataFrame:
@@ -47,7 +48,13 @@ def fragment_table(docs: DataFrame) -> DataFrame:
     )
 
 
-def best_fragments(hits: DataFrame, docs: DataFrame, terms: DataFrame, small: bool = False) -> DataFrame:
+def best_fragments(
+    hits: DataFrame,
+    docs: DataFrame,
+    terms: DataFrame,
+    small: bool = False,
+    parts: int | None = None,
+) -> DataFrame:
     """(qid, project, number, fragments): up to five best fragments, touching ones joined.
 
     Only the consoles of hits are cut. ``small`` says that the hits were bounded by a counted
@@ -55,7 +62,8 @@ def best_fragments(hits: DataFrame, docs: DataFrame, terms: DataFrame, small: bo
     """
     wanted = hits.select("qid", *KEY).join(F.broadcast(terms) if small else terms, "qid")
     keys = wanted.select(*KEY).distinct()
-    consoles = docs.select(*KEY, "c").join(F.broadcast(keys) if small else keys, KEY, "left_semi")
+    own = [*KEY, "dp", "c"] if parts else [*KEY, "c"]
+    consoles = pick(docs.select(*own), keys, "left_semi", small, parts)
     offered = fragment_table(consoles).join(F.broadcast(wanted) if small else wanted, KEY)
     scored = offered.where(F.arrays_overlap("parts", "terms")).withColumn(
         "score", F.size(F.array_intersect("parts", "terms"))

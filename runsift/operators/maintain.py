@@ -11,6 +11,7 @@ from runsift.fields import FieldRegistry
 from runsift.functions.text import job_label, words
 from runsift.operators.documents import build_documents
 from runsift.schemas import KEY
+from runsift.session import broadcast_if_small
 
 
 def requested_names(text: Column) -> Column:
@@ -35,16 +36,19 @@ def empty_jobs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def runs_of(runs: DataFrame, jobs: DataFrame) -> DataFrame:
-    return runs.join(jobs.select(F.col("full_name").alias("project")).distinct(), "project", "left_semi")
+    wanted = jobs.select(F.col("full_name").alias("project")).distinct()
+    return runs.join(broadcast_if_small(wanted), "project", "left_semi")
 
 
 def remove_runs(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    return docs.join(keys.select(*KEY).distinct(), KEY, "left_anti")
+    """Documents without the given keys. A counted small key list leaves the documents unshuffled."""
+    return docs.join(broadcast_if_small(keys.select(*KEY).distinct()), KEY, "left_anti")
 
 
 def delete_jobs(docs: DataFrame, projects: DataFrame) -> DataFrame:
     """Exact project names: deleting ``app`` leaves ``app test`` alone."""
-    return docs.join(projects.select("project").distinct(), "project", "left_anti")
+    gone = projects.select("project").distinct()
+    return docs.join(broadcast_if_small(gone), "project", "left_anti")
 
 
 def upsert(docs: DataFrame, new_docs: DataFrame) -> DataFrame:
@@ -57,7 +61,13 @@ def append_documents(docs: DataFrame, new_docs: DataFrame) -> DataFrame:
 
 
 def run_lookup(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    return docs.join(keys.select(*KEY).distinct(), KEY, "left_semi")
+    return docs.join(broadcast_if_small(keys.select(*KEY).distinct()), KEY, "left_semi")
+
+
+def exists(docs: DataFrame, project: str, number: int) -> bool:
+    """Whether a run has a document; the scan stops at the first one."""
+    found = docs.where((F.col("project") == project) & (F.col("number") == number))
+    return not found.select(*KEY).limit(1).isEmpty()
 
 
 def rebuild_overwrite(
@@ -74,8 +84,9 @@ def rebuild_preserve(
     """Add only runs that have no document yet; a job without runs loses its documents."""
     gone = empty_jobs(jobs, runs).select(F.col("full_name").alias("project"))
     kept = delete_jobs(docs, gone)
-    missing = runs_of(runs, jobs).join(docs.select(*KEY), KEY, "left_anti")
-    return append_documents(kept, build_documents(missing, registry))
+    # What is missing is decided on keys alone; consoles are read only for that.
+    missing = runs_of(runs.select(*KEY), jobs).join(docs.select(*KEY), KEY, "left_anti")
+    return append_documents(kept, build_documents(run_lookup(runs, missing), registry))
 
 
 def clean_all(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -95,33 +95,29 @@ def first_word_and_rest(q: Column) -> Column:
     return F.split(strip(q), r"\s+", 2)
 
 
-def parse_with_rest(queries: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
-    """Parse the query and, for the case that its first word is a job name, the rest of it.
+def with_job_word(queries: DataFrame, tokenizer: Tokenizer = tokens) -> DataFrame:
+    """Add _rest and job_terms: the tokens of the first word, none if it cannot be a job name.
 
-    job_terms holds the tokens of the first word, or nothing if the query cannot be ``job rest``:
-    that takes two words, the first of them no operator. Written once, so that no filter pulls the
-    parsing into every later step.
+    That takes two words, the first of them no operator.
     """
-    split = queries.withColumn("_w", first_word_and_rest(F.col("q"))).withColumn(
-        "_first", F.when((F.size("_w") == 2) & ~F.get("_w", F.lit(0)).isin(*_OPERATORS), F.get("_w", F.lit(0)))
-    )
-    named = split.select(
+    split = queries.withColumn("_w", first_word_and_rest(F.col("q")))
+    first = F.get("_w", F.lit(0))
+    may_be = (F.size("_w") == 2) & ~first.isin(*_OPERATORS)
+    return split.select(
         *queries.columns,
         F.coalesce(F.get("_w", F.lit(1)), F.lit("")).alias("_rest"),
-        F.array_distinct(tokenizer(F.coalesce("_first", F.lit("")))).alias("job_terms"),
+        F.array_distinct(tokenizer(F.when(may_be, first).otherwise(F.lit("")))).alias("job_terms"),
     )
-    parsed = parse(parse(named, "q", "", tokenizer), "_rest", "rest_", tokenizer)
-    return written(parsed.drop("_rest", "rest_escaped"), "parsed")
 
 
-def known_jobs(parsed: DataFrame, jobs: DataFrame, small: bool = False) -> DataFrame:
+def known_jobs(named: DataFrame, jobs: DataFrame, small: bool = False) -> DataFrame:
     """qids whose first word names a job that has documents: all its tokens occur in one job name."""
-    asked = parsed.where("valid AND rest_valid AND size(job_terms) > 0").select(
+    asked = named.select(
         "qid", F.size("job_terms").alias("n_terms"), F.explode("job_terms").alias("term")
     )
-    named = jobs.select("project", F.explode("terms").alias("term"))
+    terms = jobs.select("project", F.explode("terms").alias("term"))
     return (
-        named.join(F.broadcast(asked) if small else asked, "term")
+        terms.join(F.broadcast(asked) if small else asked, "term")
         .groupBy("qid", "project", "n_terms")
         .agg(F.count(F.lit(1)).alias("n_found"))
         .where("n_found = n_terms")
@@ -136,30 +132,30 @@ def analyse(
     tokenizer: Tokenizer = tokens,
     small: bool = False,
 ) -> DataFrame:
-    """One row per query: valid, job_mode, job_terms, clauses in force, show_console.
+    """One row per query: escaped, valid, job_mode, job_terms, clauses in force, show_console.
 
     In job mode the first word restricts the job and the rest is the query proper. ``small`` says
-    that the query table was measured and may be broadcast.
+    that the query table was measured and may be broadcast. The result is written once: several
+    steps read it, and none of their filters may pull the parsing along.
     """
-    parsed = parse_with_rest(queries, tokenizer)
+    named = with_job_word(queries, tokenizer)
     if jobs is None:
-        chosen = parsed.withColumn("job_mode", F.lit(False))
+        flagged = named.withColumn("_job", F.lit(False))
     else:
-        in_job = known_jobs(parsed, jobs, small).withColumn("job_mode", F.lit(True))
-        chosen = parsed.join(F.broadcast(in_job) if small else in_job, "qid", "left").withColumn(
-            "job_mode", F.coalesce("job_mode", F.lit(False))
-        )
-    return chosen.select(
+        known = known_jobs(named, jobs, small).withColumn("_job", F.lit(True))
+        flagged = named.join(F.broadcast(known) if small else known, "qid", "left")
+    parsed = parse(parse(flagged, "q", "", tokenizer), "_rest", "rest_", tokenizer)
+    job_mode = F.coalesce("_job", F.lit(False)) & F.col("valid") & F.col("rest_valid")
+    chosen = parsed.withColumn("job_mode", job_mode).select(
         *queries.columns,
         "escaped",
         "valid",
         "job_mode",
         F.when(F.col("job_mode"), F.col("job_terms")).alias("job_terms"),
         F.when(F.col("job_mode"), F.col("rest_clauses")).otherwise(F.col("clauses")).alias("clauses"),
-    ).withColumn(
-        "show_console",
-        F.col("valid") & F.exists("clauses", lambda c: c["field"].isNull() | (c["field"] == "c")),
     )
+    uses_console = F.exists("clauses", lambda c: c["field"].isNull() | (c["field"] == "c"))
+    return written(chosen.withColumn("show_console", F.col("valid") & uses_console), "queries")
 
 
 # How clauses act, as numbers: they are part of every grouping key in matching.

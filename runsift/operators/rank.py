@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift.schemas import PAGE_SIZE
-from runsift.session import written
+from runsift.session import broadcast_if_small, written
 
 
 def _order():
@@ -22,7 +22,8 @@ def top_hits(scored: DataFrame, k: int = PAGE_SIZE) -> DataFrame:
 def next_page(scored: DataFrame, cursors: DataFrame, k: int = PAGE_SIZE) -> DataFrame:
     """The k hits after each query's cursor (qid, score, project, number); rank counts from the cursor.
 
-    ``cursors`` has one row per query, the last hit of the page before.
+    ``cursors`` is a stored table with one row per query, the last hit of the page before; it is
+    counted, and broadcast if it fits.
     """
     last = cursors.select(
         "qid",
@@ -30,7 +31,7 @@ def next_page(scored: DataFrame, cursors: DataFrame, k: int = PAGE_SIZE) -> Data
         F.col("project").alias("_p"),
         F.col("number").alias("_n"),
     )
-    after = scored.join(last, "qid").where(
+    after = scored.join(broadcast_if_small(last), "qid").where(
         (F.col("score") < F.col("_s"))
         | (
             (F.col("score") == F.col("_s"))

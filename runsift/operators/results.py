@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from runsift.functions.text import count_label, hit_url
 from runsift.operators.documents import search_name
 from runsift.schemas import KEY, PAGE_SIZE
+from runsift.sources.document_table import pick
 
 
-def with_names(hits: DataFrame, docs: DataFrame, small: bool = False) -> DataFrame:
+def with_names(
+    hits: DataFrame, docs: DataFrame, small: bool = False, parts: int | None = None
+) -> DataFrame:
     """Add search_name from the stored document; only narrow columns are read."""
-    names = docs.select(*KEY, search_name(F.col("j"), F.col("d")).alias("search_name"))
-    return names.join(F.broadcast(hits) if small else hits, KEY)
+    own = [*KEY, "dp"] if parts else KEY
+    names = docs.select(*own, search_name(F.col("j"), F.col("d")).alias("search_name"))
+    return pick(names, hits, "inner", small, parts)
 
 
 def dedupe_page(paged: DataFrame) -> DataFrame:

@@ -480,14 +480,17 @@ ORACLES: dict[str, str] = {
                          unnest([j, d, p, c]) AS x FROM docs)))
             GROUP BY project, number, field), q
       WHERE contains(' ' || line || ' ', ' ' || q || ' ')""",
-    "wildcard_match": _with(_DOCS, _TOKS, _q(_WILD_SHAPES))
+    "wildcard_match": _with(_DOCS, _TOKS, _POST, _q(_WILD_SHAPES))
     + """, pat AS (
         SELECT qid, CASE qid % 100 WHEN 0 THEN left(q, 3) || '%' WHEN 1 THEN '%' || right(q, 3)
           WHEN 2 THEN '%' || substr(q, 2, 2) || '%' ELSE '_' || substr(q, 2) END AS pattern
         FROM q WHERE length(q) >= 3),
-      voc AS (SELECT DISTINCT term FROM toks WHERE field = 'c'),
-      exp AS (SELECT qid, term FROM pat JOIN voc ON term LIKE pattern)
-      SELECT DISTINCT qid, project, number FROM exp JOIN toks USING (term) WHERE field = 'c'""",
+      exp AS (SELECT qid, term, df FROM pat JOIN tstat ON term LIKE pattern WHERE field = 'c')
+      SELECT qid, p.project, p.number, round(sum(ln(1 + (f.n_docs - e.df + 0.5) / (e.df + 0.5))
+          * p.tf / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / f.avg_len))), 4) AS score
+      FROM exp e JOIN post p ON p.term = e.term AND p.field = 'c' JOIN fstat f ON f.field = p.field
+        JOIN dlen l ON l.project = p.project AND l.number = p.number AND l.field = p.field
+      GROUP BY qid, p.project, p.number""",
     "number_range": """SELECT source AS project, doc_id AS number FROM documents
       WHERE doc_id <= 90 OR doc_id BETWEEN 150 AND 4000""",
     "events_latest_state": _LATEST,

@@ -174,10 +174,8 @@ def query_escape(spark, sf):
     return A.queries(spark, sf).select("qid", X.escaped_query(F.col("q")).alias("escaped"))
 
 
-def _analysed(spark, sf, shapes=A.SHAPES):
-    s = searcher(spark, sf)
-    queries = A.queries(spark, sf, shapes)
-    return s.analyse(queries, True, s.is_small(queries))
+def _analysed(spark, sf):
+    return searcher(spark, sf).analyse(A.queries(spark, sf))
 
 
 def query_occur(spark, sf):
@@ -226,7 +224,7 @@ def first_hit(spark, sf):
 def page_2_keyset(spark, sf):
     """The second page, continued from the last hit of the first."""
     scored = searcher(spark, sf).scored(A.queries(spark, sf, PAGED))
-    last = R.top_hits(scored).where("rank = 100")
+    last = written(R.top_hits(scored).where("rank = 100"), "cursors")
     return R.next_page(scored, last).select(
         "qid", *KEY, "score", F.col("rank").cast("bigint").alias("rank")
     )
@@ -252,21 +250,16 @@ def _repeated_names(spark, sf):
     )
 
 
-def _named_pages(spark, sf, docs):
-    ranked = R.with_page(R.top_hits(searcher(spark, sf).scored(A.queries(spark, sf, PAGED)), 300))
-    return results.dedupe_page(results.with_names(ranked, docs))
-
-
 def page_dedupe(spark, sf):
-    return _named_pages(spark, sf, _repeated_names(spark, sf)).select(
+    found = Searcher(index(spark, sf), _repeated_names(spark, sf)).pages(A.queries(spark, sf, PAGED), 3)
+    return found.select(
         "qid", F.col("page").cast("bigint").alias("page"), "search_name", *KEY,
         F.col("rank").cast("bigint").alias("rank"),
     )
 
 
 def page_order(spark, sf):
-    placed = results.order_page(_named_pages(spark, sf, documents(spark, sf)))
-    return placed.select(
+    return searcher(spark, sf).pages(A.queries(spark, sf, PAGED), 3).select(
         "qid", F.col("page").cast("bigint").alias("page"),
         F.col("pos_in_page").cast("bigint").alias("pos_in_page"), "search_name",
     )
@@ -332,14 +325,7 @@ FRAGMENT_SHAPES = ("{w3} {w4} {w5}", "{w3} NOT {w4}", "p:fr {w3}")
 
 
 def _fragments(spark, sf):
-    s = searcher(spark, sf)
-    queries = A.queries(spark, sf, FRAGMENT_SHAPES)
-    small = s.is_small(queries)
-    analysed = s.analyse(queries, True, small)
-    hits = R.top_hits(s.scored(queries, analysed=analysed))
-    return H.best_fragments(
-        written(hits, "hits"), s.docs, H.highlight_terms(analysed), s.hits_small(queries, 1)
-    )
+    return searcher(spark, sf).fragments(A.queries(spark, sf, FRAGMENT_SHAPES))
 
 
 def fragments(spark, sf):
@@ -536,7 +522,9 @@ def artifact_patterns(spark, sf):
 def phrase_match(spark, sf):
     """Three successive words of each benchmark item as a phrase."""
     phrases = A.queries(spark, sf, ("{w3} {w4} {w5}", "{w3} {w4}")).withColumnRenamed("q", "phrase")
-    return predicates.phrase_match(documents(spark, sf), phrases, ["j", "d", "p", "c"])
+    return predicates.phrase_match(
+        documents(spark, sf), phrases, ["j", "d", "p", "c"], index=index(spark, sf)
+    )
 
 
 def wildcard_match(spark, sf):
@@ -550,8 +538,7 @@ def wildcard_match(spark, sf):
         .otherwise(F.concat(F.lit("?"), F.expr("substr(q, 2)")))
     )
     patterns = words.select("qid", F.lit("c").alias("field"), pattern.alias("pattern"))
-    ix = index(spark, sf)
-    return predicates.wildcard_match(ix.postings, ix.term_stats, patterns)
+    return predicates.wildcard_match(index(spark, sf), patterns)
 
 
 def number_range(spark, sf):

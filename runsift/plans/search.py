@@ -16,31 +16,44 @@ from runsift.sources.index_tables import SearchIndex
 
 @dataclass(frozen=True)
 class Searcher:
-    """Answers tables of queries (qid, q) from an index and the stored documents."""
+    """Answers tables of queries (qid, q) from an index and the stored documents.
+
+    Each query table is counted before anything derived from it is broadcast.
+    """
 
     index: SearchIndex
     docs: DataFrame
+    doc_parts: int | None = None
     broadcast_limit: int = BROADCAST_LIMIT_BYTES
 
     def is_small(self, queries: DataFrame) -> bool:
-        """Counts the query table; only then may anything derived from it be broadcast."""
-        return QuerySize.of(queries).small(len(self.index.default_keys), self.broadcast_limit)
+        return self._terms_small(QuerySize.of(queries))
+
+    def _terms_small(self, size: QuerySize) -> bool:
+        return size.small(len(self.index.default_keys), self.broadcast_limit)
+
+    def _hits_small(self, size: QuerySize, last_page: int) -> bool:
+        """Whether all hits of these pages, each with its query's terms, fit a broadcast."""
+        per_hit = size.n_queries * 256 + size.n_bytes * 4
+        return per_hit * last_page * PAGE_SIZE <= self.broadcast_limit
 
-    def analyse(self, queries: DataFrame, job_mode: bool = True, small: bool = False) -> DataFrame:
-        """Parsed queries, written once because matching, flags and highlighting all read them."""
+    def _analyse(self, queries: DataFrame, job_mode: bool, small: bool) -> DataFrame:
         jobs = self.index.jobs if job_mode else None
-        return written(queryterms.analyse(queries, jobs, self.index.tokenizer, small), "queries")
+        return queryterms.analyse(queries, jobs, self.index.tokenizer, small)
 
-    def scored(
-        self, queries: DataFrame, job_mode: bool = True, analysed: DataFrame | None = None
-    ) -> DataFrame:
-        """(qid, project, number, score) of every match."""
-        small = self.is_small(queries)
-        if analysed is None:
-            analysed = self.analyse(queries, job_mode, small)
+    def _score(self, analysed: DataFrame, small: bool) -> DataFrame:
         terms = queryterms.clause_terms(analysed, self.index.default_keys)
         return match.match(terms, self.index, small)
 
+    def analyse(self, queries: DataFrame, job_mode: bool = True) -> DataFrame:
+        """Parsed queries: validity, job mode, clauses, show_console."""
+        return self._analyse(queries, job_mode, self.is_small(queries))
+
+    def scored(self, queries: DataFrame, job_mode: bool = True) -> DataFrame:
+        """(qid, project, number, score) of every match."""
+        small = self.is_small(queries)
+        return self._score(self._analyse(queries, job_mode, small), small)
+
     def ranked(self, queries: DataFrame, k: int = PAGE_SIZE, job_mode: bool = True) -> DataFrame:
         return rank.top_hits(self.scored(queries, job_mode), k)
 
@@ -48,21 +61,26 @@ class Searcher:
         self, queries: DataFrame, last_page: int | None = 1, job_mode: bool = True
     ) -> DataFrame:
         """Result pages 1..last_page, or all of them: de-duplicated by name, then name order."""
-        scored = self.scored(queries, job_mode)
+        size = QuerySize.of(queries)
+        small = self._terms_small(size)
+        scored = self._score(self._analyse(queries, job_mode, small), small)
         if last_page is None:
-            ranked = rank.rank_all(scored)
+            ranked, few = rank.rank_all(scored), False
         else:
-            ranked = rank.top_hits(scored, last_page * PAGE_SIZE)
-        named = results.with_names(rank.with_page(ranked), self.docs, self.hits_small(queries, last_page))
+            ranked, few = rank.top_hits(scored, last_page * PAGE_SIZE), self._hits_small(size, last_page)
+        named = results.with_names(rank.with_page(ranked), self.docs, few, self.doc_parts)
         return results.order_page(results.dedupe_page(named))
 
-    def hits_small(self, queries: DataFrame, last_page: int | None) -> bool:
-        """Whether all hits of the pages, with their query's terms, fit a broadcast."""
-        if last_page is None:
-            return False
+    def fragments(self, queries: DataFrame, job_mode: bool = True) -> DataFrame:
+        """(qid, project, number, fragments) of the first page's hits."""
         size = QuerySize.of(queries)
-        per_page = size.n_queries * 256 + size.n_bytes * 4
-        return per_page * last_page * PAGE_SIZE <= self.broadcast_limit
+        small = self._terms_small(size)
+        analysed = self._analyse(queries, job_mode, small)
+        hits = written(rank.top_hits(self._score(analysed, small)).select("qid", *KEY), "hits")
+        terms = highlight.highlight_terms(analysed)
+        return highlight.best_fragments(
+            hits, self.docs, terms, small and self._hits_small(size, 1), self.doc_parts
+        )
 
     def search(
         self,
@@ -78,25 +96,36 @@ class Searcher:
         Hidden projects are dropped after paging, so pages may be short; ``filter_first`` drops
         them before.
         """
-        small = self.is_small(queries)
-        few_hits = self.hits_small(queries, last_page)
-        analysed = self.analyse(queries, True, small)
-        scored = self.scored(queries, analysed=analysed)
+        size = QuerySize.of(queries)
+        small = self._terms_small(size)
+        few = small and self._hits_small(size, last_page)
+        analysed = self._analyse(queries, True, small)
+        scored = self._score(analysed, small)
         if visible is not None and filter_first:
             scored = results.visible_hits(scored, visible)
         ranked = rank.with_page(rank.top_hits(scored, last_page * PAGE_SIZE))
-        named = results.with_names(ranked, self.docs, few_hits)
-        placed = results.order_page(results.dedupe_page(named))
-        located = results.with_urls(placed, runs, root_url, few_hits)
+        # A bounded number of hits per query: written once, then named, located and highlighted.
+        hits = written(ranked, "hits")
+        named = results.with_names(hits, self.docs, few, self.doc_parts)
+        located = results.with_urls(
+            results.order_page(results.dedupe_page(named)), runs, root_url, few
+        )
         if visible is not None and not filter_first:
             located = results.visible_hits(located, visible)
         flags = analysed.select("qid", "show_console")
-        # At most a page per query and page: written once, then shown and cut into fragments.
-        shown = written(located.join(F.broadcast(flags) if small else flags, "qid"), "hits")
-        terms = highlight.highlight_terms(analysed)
+        flags = F.broadcast(flags) if small else flags
         fragments = highlight.best_fragments(
-            shown.where("show_console"), self.docs, terms, small and few_hits
+            hits.join(flags, "qid").where("show_console"),
+            self.docs,
+            highlight.highlight_terms(analysed),
+            few,
+            self.doc_parts,
         )
-        return shown.join(fragments, ["qid", *KEY], "left").withColumn(
-            "fragments", F.when(F.col("show_console"), highlight.display_fragments(F.col("fragments")))
+        return (
+            located.join(flags, "qid")
+            .join(fragments, ["qid", *KEY], "left")
+            .withColumn(
+                "fragments",
+                F.when(F.col("show_console"), highlight.display_fragments(F.col("fragments"))),
+            )
         )

@@ -55,10 +55,11 @@ def compacted(events: DataFrame) -> DataFrame:
     return kept.unionByName(deletions, allowMissingColumns=True)
 
 
-def live(feed: DataFrame) -> DataFrame:
+def live(feed: DataFrame, deletions: DataFrame | None = None) -> DataFrame:
     """The documents of a compacted feed: stored, and not before a deletion of their job."""
     stored = feed.where(F.col("op").isin(*PUT_OPS)).drop("op")
-    gone = broadcast_if_small(job_deletions(feed)).alias("gone")
+    gone = job_deletions(feed) if deletions is None else deletions
+    gone = broadcast_if_small(gone).alias("gone")
     return stored.alias("s").join(
         gone,
         (F.col("s.project") == F.col("gone.project"))
@@ -69,7 +70,7 @@ def live(feed: DataFrame) -> DataFrame:
 
 def latest_state(events: DataFrame) -> DataFrame:
     """The document table after all events: columns of the payload, the key and seq."""
-    return live(compacted(events))
+    return live(compacted(events), job_deletions(events))
 
 
 def merge(base: DataFrame, events: DataFrame) -> DataFrame:
@@ -119,7 +120,10 @@ class ChangeLog:
 
     def current(self, base: DataFrame | None = None) -> DataFrame:
         """The standing view: documents after every stored event."""
-        return live(self.feed(base))
+        events = self.events() if base is None else self.events().unionByName(
+            base.where("op = 'job_deleted'"), allowMissingColumns=True
+        )
+        return live(self.feed(base), job_deletions(events))
 
     def compact(self, target: str, base: DataFrame | None = None) -> DataFrame:
         """Write the compacted feed to a new folder, as the base of a new log, and read it back."""
