@@ -14,9 +14,6 @@ from runsift.sources.index_tables import SearchIndex, term_part
 
 # Bytes one query term takes as a broadcast row, hash table overhead included.
 _TERM_ROW_BYTES = 160
-# Copies of each query term when neither side can be broadcast, so that one common term is
-# joined by this many tasks.
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -51,7 +48,10 @@ def term_weight(tf: Column, dl: Column, avg_len: Column) -> Column:
 
 def weighted_terms(terms: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
     """Add idf and avg_len to query terms; terms that occur nowhere drop out."""
-    placed = terms.withColumn("tp", term_part(F.col("term"), index.term_parts)).where("term != ''")
+    placed = terms
+    if "tp" not in terms.columns:
+        placed = terms.withColumn("tp", term_part(F.col("term"), index.term_parts))
+    placed = placed.where("term != ''")
     asked = F.broadcast(placed) if small else placed
     found = index.term_stats.join(asked, ["tp", "field", "term"])
     # One row per field, so its size does not grow with the data.
@@ -67,16 +67,12 @@ def term_hits(weighted: DataFrame, index: SearchIndex, small: bool) -> DataFrame
     """Join query terms to their postings.
 
     A measured small query table is broadcast: postings stay where they are and only the term
-    partitions asked for are read. Otherwise both sides shuffle, and common terms are salted by
-    document.
+    partitions asked for are read. Otherwise both sides shuffle by term, and adaptive execution
+    splits the partitions of common terms, on either side.
     """
     on = ["tp", "field", "term"]
-    rows = index.postings
-    if small:
-        return rows.join(F.broadcast(weighted.where("term != ''")), on)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*KEY), F.lit(SALTS)).cast("int"))
-    copies = weighted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*on, "salt"]).drop("salt")
+    asked = weighted.where("term != ''")
+    return index.postings.join(F.broadcast(asked) if small else asked, on)
 
 
 def score_documents(hits: DataFrame) -> DataFrame:

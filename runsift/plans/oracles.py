@@ -483,7 +483,7 @@ ORACLES: dict[str, str] = {
     "wildcard_match": _with(_DOCS, _TOKS, _POST, _q(_WILD_SHAPES))
     + """, pat AS (
         SELECT qid, CASE qid % 100 WHEN 0 THEN left(q, 3) || '%' WHEN 1 THEN '%' || right(q, 3)
-          WHEN 2 THEN '%' || substr(q, 2, 2) || '%' ELSE '_' || substr(q, 2) END AS pattern
+          WHEN 2 THEN '%' || substr(q, 2, 3) || '%' ELSE '_' || substr(q, 2) END AS pattern
         FROM q WHERE length(q) >= 3),
       exp AS (SELECT qid, term, df FROM pat JOIN tstat ON term LIKE pattern WHERE field = 'c')
       SELECT qid, p.project, p.number, round(sum(ln(1 + (f.n_docs - e.df + 0.5) / (e.df + 0.5))

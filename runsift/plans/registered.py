@@ -534,7 +534,7 @@ def wildcard_match(spark, sf):
     pattern = (
         F.when(kind == 0, F.concat(F.substr("q", F.lit(1), F.lit(3)), F.lit("*")))
         .when(kind == 1, F.concat(F.lit("*"), F.expr("right(q, 3)")))
-        .when(kind == 2, F.concat(F.lit("*"), F.expr("substr(q, 2, 2)"), F.lit("*")))
+        .when(kind == 2, F.concat(F.lit("*"), F.expr("substr(q, 2, 3)"), F.lit("*")))
         .otherwise(F.concat(F.lit("?"), F.expr("substr(q, 2)")))
     )
     patterns = words.select("qid", F.lit("c").alias("field"), pattern.alias("pattern"))
