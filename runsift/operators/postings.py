@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from runsift.functions.text import Tokenizer, chunks, tokens
@@ -19,12 +19,33 @@ def field_text(docs: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def token_rows(
-    docs: DataFrame, keys: Iterable[str], exact: Iterable[str] = (), tokenizer: Tokenizer = tokens
+    texts: DataFrame, exact: Iterable[str] = (), tokenizer: Tokenizer = tokens
 ) -> DataFrame:
-    """(project, number, field, term): one row per token; an exact field is one token."""
-    parts = field_text(docs, keys).select(*KEY, "field", F.explode(chunks(F.col("text"))).alias("chunk"))
-    found = F.when(F.col("field").isin(*exact), F.array("chunk")).otherwise(tokenizer(F.col("chunk")))
-    return parts.select(*KEY, "field", F.explode(found).alias("term")).where("term != ''")
+    """(project, number, field, n_tokens, term): one row per token; an exact field is one token.
+
+    ``texts`` is (project, number, field, text). n_tokens is the token count of the whole text.
+    Large texts are tokenised chunk by chunk, twice, so that their tokens are never held at once.
+    """
+
+    def found_in(chunk: Column) -> Column:
+        whole = F.when(chunk != "", F.array(chunk)).otherwise(F.array().cast("array<string>"))
+        return F.when(F.col("field").isin(*exact), whole).otherwise(tokenizer(chunk))
+
+    n_chunked = F.when(
+        F.size("chunks") != 1,
+        F.aggregate("chunks", F.lit(0), lambda n, chunk: n + F.size(found_in(chunk))),
+    )
+    return (
+        texts.select(*KEY, "field", chunks(F.col("text")).alias("chunks"))
+        .select(*KEY, "field", n_chunked.alias("n_chunked"), F.explode("chunks").alias("chunk"))
+        .select(*KEY, "field", "n_chunked", found_in(F.col("chunk")).alias("found"))
+        .select(
+            *KEY,
+            "field",
+            F.coalesce("n_chunked", F.size("found")).cast("bigint").alias("n_tokens"),
+            F.explode("found").alias("term"),
+        )
+    )
 
 
 def without_stop_words(rows: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
@@ -42,14 +63,31 @@ def postings(
 ) -> DataFrame:
     """(project, number, field, term, tf, dl).
 
-    Documents are spread by key once; counting and field lengths reuse that partitioning.
+    Documents are spread by key once; counting reuses that partitioning.
     """
     spread = docs.repartition(partitions, *KEY) if partitions else docs.repartition(*KEY)
-    rows = without_stop_words(token_rows(spread, keys, exact, tokenizer), stop_words)
-    counted = rows.groupBy(*POSTING).agg(F.count(F.lit(1)).alias("tf"))
+    rows = token_rows(field_text(spread, keys), exact, tokenizer)
+    tf = F.count(F.lit(1)).alias("tf")
+    if stop_words is None:
+        return rows.groupBy(*POSTING).agg(tf, F.max("n_tokens").alias("dl"))
+    counted = without_stop_words(rows, stop_words).groupBy(*POSTING).agg(tf)
     return counted.withColumn("dl", F.sum("tf").over(Window.partitionBy(*KEY, "field")))
 
 
+def piece_postings(
+    pieces: DataFrame, exact: Iterable[str] = (), tokenizer: Tokenizer = tokens
+) -> DataFrame:
+    """Postings of fields whose text comes in many rows (project, number, field, text).
+
+    The pieces are counted before they are brought together, so one run with very many of them is
+    neither joined into one string nor tokenised in one task.
+    """
+    counted = (
+        token_rows(pieces, exact, tokenizer).groupBy(*POSTING).agg(F.count(F.lit(1)).alias("tf"))
+    )
+    return counted.join(doc_lengths(counted), [*KEY, "field"])
+
+
 def term_stats(posting_rows: DataFrame) -> DataFrame:
     """(field, term, df)"""
     return posting_rows.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))

@@ -316,6 +316,17 @@ ORACLES: dict[str, str] = {
     + "SELECT field, n_docs, round(avg_len, 6) AS avg_len FROM fstat",
     "doc_lengths": _with(_DOCS, _TOKS, _POST)
     + "SELECT project, number, field, CAST(dl AS BIGINT) AS dl FROM dlen",
+    "index_update": _search(_RANKED)
+    + "SELECT qid, project, number, score, rank FROM ranked WHERE rank <= 100",
+    "index_pieces": _with(_TESTS)
+    + f"""SELECT project, number, field, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens,
+        CAST(sum(tf) AS BIGINT) AS dl FROM (
+        SELECT project, number, field, term, count(*) AS tf FROM (
+          SELECT project, number, 'unittest' AS field, unnest(regexp_extract_all(u, {_TOK})) AS term
+          FROM texts
+          UNION ALL
+          SELECT project, number, 'artifact', unnest(regexp_extract_all(a, {_TOK})) FROM texts)
+        GROUP BY ALL) GROUP BY project, number, field""",
     "query_pieces": _with(_q(SHAPES), _CLAUSES)
     + "SELECT qid, i - 1 AS i, coalesce(f, '') AS field, t AS text FROM pc WHERE kind = 'f'",
     "query_escape": _with(_q(SHAPES), _CLAUSES)

@@ -115,7 +115,7 @@ def tokenize_max_len(spark, sf):
 
 def stopword_filter(spark, sf):
     stop = A.table(spark, sf, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("term"))
-    rows = P.token_rows(documents(spark, sf), ["c"])
+    rows = P.token_rows(P.field_text(documents(spark, sf), ["c"]))
     return (
         P.without_stop_words(rows, stop)
         .groupBy(*KEY)
@@ -159,6 +159,35 @@ def doc_lengths(spark, sf):
     return P.doc_lengths(index(spark, sf).postings)
 
 
+def _updated_index(spark, sf):
+    """An index that was built on the outdated documents and then brought up to date."""
+    old, now = _old_documents(spark, sf), documents(spark, sf)
+    stale = SearchIndex.build(old, scratch_path(spark, "stale"))
+    return stale.update(old, now, scratch_path(spark, "update"))
+
+
+def index_update(spark, sf):
+    """Searches on an updated index see the new documents and their statistics."""
+    return Searcher(_updated_index(spark, sf), documents(spark, sf)).ranked(
+        A.queries(spark, sf, RANKED)
+    ).select("qid", *KEY, "score", F.col("rank").cast("bigint").alias("rank"))
+
+
+def index_pieces(spark, sf):
+    """Extension text indexed from its pieces, without joining them into one string first."""
+    def piece(rows, field, first, second):
+        text = F.concat(F.col(first), F.lit("\n"), F.col(second))
+        return rows.select(*KEY, F.lit(field).alias("field"), text.alias("text"))
+
+    tests = piece(A.failed_tests(spark, sf), "unittest", "title", "error_details")
+    files = piece(A.artifacts(spark, sf), "artifact", "path", "content")
+    return P.piece_postings(tests.unionByName(files)).groupBy(*KEY, "field").agg(
+        F.count(F.lit(1)).alias("n_terms"),
+        F.sum("tf").alias("n_tokens"),
+        F.max("dl").alias("dl"),
+    )
+
+
 # -- query tables -----------------------------------------------------------------------------
 
 
@@ -598,6 +627,8 @@ QUERIES: dict[str, Query] = {
     "term_stats": term_stats,
     "field_stats": field_stats,
     "doc_lengths": doc_lengths,
+    "index_update": index_update,
+    "index_pieces": index_pieces,
     "query_pieces": query_pieces,
     "query_escape": query_escape,
     "query_occur": query_occur,

@@ -16,6 +16,7 @@ from runsift.fields import FieldRegistry
 from runsift.functions.text import Tokenizer, tokens
 from runsift.operators import postings as P
 from runsift.schemas import KEY
+from runsift.session import broadcast_if_small
 
 
 def term_part(term: Column, parts: int) -> Column:
@@ -24,14 +25,22 @@ def term_part(term: Column, parts: int) -> Column:
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """A built index. ``jobs`` lists each project that has documents, with its name tokens."""
+    """A built index, or an update on top of another one.
+
+    ``jobs`` lists each project that has documents, with its name tokens. An update holds the
+    postings of changed documents, the keys it takes out of its base, and signed counts; so every
+    statistic of the whole is a sum, and a search sees exactly the documents of that moment.
+    """
 
     spark: SparkSession
     path: str
     term_parts: int
     doc_buckets: int
     default_keys: tuple[str, ...]
+    all_keys: tuple[str, ...]
+    exact_keys: tuple[str, ...]
     tokenizer: Tokenizer = tokens
+    base: SearchIndex | None = None
 
     @classmethod
     def build(
@@ -43,58 +52,78 @@ class SearchIndex:
         doc_buckets: int | None = None,
         tokenizer: Tokenizer = tokens,
         stop_words: DataFrame | None = None,
+        pieces: DataFrame | None = None,
     ) -> SearchIndex:
+        """Index documents. ``pieces`` (project, number, field, text) adds text of further fields
+        that comes in many rows per run and is not part of ``docs``."""
         registry = registry or FieldRegistry()
-        keys = [k for k in registry.all_keys if k in docs.columns]
         spark = docs.sparkSession
         # One bucket per shuffle task of this cluster; more term partitions the larger it is.
         doc_buckets = doc_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        term_parts = term_parts or min(256, max(4, doc_buckets // 4))
         index = cls(
             spark,
             path,
-            term_parts,
+            term_parts or min(256, max(4, doc_buckets // 4)),
             doc_buckets,
-            tuple(k for k in registry.default_keys if k in keys),
+            tuple(k for k in registry.default_keys if pieces is not None or k in docs.columns),
+            tuple(k for k in registry.all_keys if k in docs.columns),
+            tuple(sorted(registry.exact_keys)),
             tokenizer,
         )
-        rows = P.postings(docs, keys, registry.exact_keys, tokenizer, stop_words, doc_buckets)
-        (
-            rows.withColumn("tp", term_part(F.col("term"), term_parts))
-            .write.partitionBy("tp")
-            .bucketBy(doc_buckets, *KEY)
-            .sortBy("field", "term")
-            .option("path", f"{path}/postings")
-            .saveAsTable(index._table)
+        rows = index._postings_of(docs, stop_words)
+        if pieces is not None:
+            extra = P.piece_postings(pieces, index.exact_keys, tokenizer)
+            rows = rows.unionByName(extra.repartition(doc_buckets, *KEY))
+        index._store_postings(rows)
+        own = index._own_postings
+        index._store_counts(own, None, index._job_counts(docs))
+        index._store_facts()
+        return index
+
+    def update(self, old: DataFrame, new: DataFrame, path: str) -> SearchIndex:
+        """An index on top of this one in which the documents ``old`` are replaced by ``new``.
+
+        ``old`` are the stored documents that changed or were deleted, as they were indexed. Only
+        changed documents are tokenised; nothing of this index is rewritten.
+        """
+        updated = SearchIndex(
+            self.spark, path, self.term_parts, self.doc_buckets, self.default_keys,
+            self.all_keys, self.exact_keys, self.tokenizer, self,
         )
-        stored = index.postings
-        (
-            stored.groupBy("tp", "field", "term")
-            .agg(F.count(F.lit(1)).alias("df"))
-            .repartition("tp", F.pmod(F.xxhash64("field", "term"), F.lit(16)))
-            .sortWithinPartitions("tp", "field", "term")
-            .write.partitionBy("tp")
-            .parquet(f"{path}/term_stats")
+        updated._store_postings(updated._postings_of(new))
+        old.select(*KEY).distinct().write.parquet(f"{path}/removed")
+        jobs = self._job_counts(new).unionByName(
+            self._job_counts(old).withColumn("n_docs", -F.col("n_docs"))
         )
-        P.field_stats(stored).write.parquet(f"{path}/field_stats")
-        (
-            docs.select("project")
-            .distinct()
-            .withColumn("terms", F.array_distinct(tokenizer(F.col("project"))))
-            .write.parquet(f"{path}/jobs")
+        updated._store_counts(updated._own_postings, self._postings_of(old), jobs)
+        updated._store_facts()
+        return updated
+
+    def compact(self, path: str) -> SearchIndex:
+        """One plain index with the content of this one and its bases; nothing is tokenised."""
+        whole = SearchIndex(
+            self.spark, path, self.term_parts, self.doc_buckets, self.default_keys,
+            self.all_keys, self.exact_keys, self.tokenizer,
         )
-        spark.range(1, numPartitions=1).select(
-            F.lit(term_parts).alias("term_parts"),
-            F.lit(doc_buckets).alias("doc_buckets"),
-            F.array(*[F.lit(k) for k in index.default_keys]).alias("default_keys"),
-        ).write.parquet(f"{path}/facts")
-        return index
+        rows = self.postings.drop("tp")
+        whole._store_postings(rows.repartition(self.doc_buckets, *KEY))
+        whole._store_counts(whole._own_postings, None, self._job_rows())
+        whole._store_facts()
+        return whole
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, tokenizer: Tokenizer = tokens) -> SearchIndex:
         facts = spark.read.parquet(f"{path}/facts").first()
         index = cls(
-            spark, path, facts.term_parts, facts.doc_buckets, tuple(facts.default_keys), tokenizer
+            spark,
+            path,
+            facts.term_parts,
+            facts.doc_buckets,
+            tuple(facts.default_keys),
+            tuple(facts.all_keys),
+            tuple(facts.exact_keys),
+            tokenizer,
+            cls.open(spark, facts.base, tokenizer) if facts.base else None,
         )
         if not spark.catalog.tableExists(index._table):
             spark.sql(
@@ -106,28 +135,131 @@ class SearchIndex:
             spark.sql(f"ALTER TABLE {index._table} RECOVER PARTITIONS")
         return index
 
-    @property
-    def _table(self) -> str:
-        return "runsift_postings_" + hashlib.md5(self.path.encode()).hexdigest()[:16]
+    # -- what searches read ---------------------------------------------------------------------
 
     @property
     def postings(self) -> DataFrame:
-        return self.spark.table(self._table)
+        """(project, number, field, term, tf, dl, tp)"""
+        if self.base is None:
+            return self._own_postings
+        removed = self.spark.read.schema("project string, number bigint").parquet(
+            f"{self.path}/removed"
+        )
+        kept = self.base.postings.join(broadcast_if_small(removed), KEY, "left_anti")
+        return kept.unionByName(self._own_postings)
 
     @property
     def term_stats(self) -> DataFrame:
-        return self.spark.read.schema("field string, term string, df bigint, tp int").parquet(
-            f"{self.path}/term_stats"
-        )
+        """(field, term, df, tp)"""
+        own = self._read("term_stats", "field string, term string, df bigint, tp int")
+        if self.base is None:
+            return own
+        both = self.base.term_stats.unionByName(own)
+        return both.groupBy("tp", "field", "term").agg(F.sum("df").alias("df")).where("df > 0")
 
     @property
     def field_stats(self) -> DataFrame:
-        return self.spark.read.schema("field string, n_docs bigint, avg_len double").parquet(
-            f"{self.path}/field_stats"
+        """(field, n_docs, avg_len): one row per field."""
+        return self._length_sums().where("n_docs > 0").select(
+            "field", "n_docs", (F.col("sum_len") / F.col("n_docs")).alias("avg_len")
         )
 
     @property
     def jobs(self) -> DataFrame:
-        return self.spark.read.schema("project string, terms array<string>").parquet(
-            f"{self.path}/jobs"
+        """(project, terms)"""
+        return self._job_rows().select("project", "terms")
+
+    # -- stored parts -----------------------------------------------------------------------------
+
+    @property
+    def _table(self) -> str:
+        return "runsift_postings_" + hashlib.md5(self.path.encode()).hexdigest()[:16]
+
+    @property
+    def _own_postings(self) -> DataFrame:
+        return self.spark.table(self._table)
+
+    def _read(self, part: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+
+    def _length_sums(self) -> DataFrame:
+        own = self._read("field_stats", "field string, n_docs bigint, sum_len bigint")
+        if self.base is None:
+            return own
+        both = self.base._length_sums().unionByName(own)
+        return both.groupBy("field").agg(
+            F.sum("n_docs").alias("n_docs"), F.sum("sum_len").alias("sum_len")
+        )
+
+    def _job_rows(self) -> DataFrame:
+        own = self._read("jobs", "project string, terms array<string>, n_docs bigint")
+        if self.base is None:
+            return own
+        both = self.base._job_rows().unionByName(own)
+        return (
+            both.groupBy("project")
+            .agg(F.first("terms").alias("terms"), F.sum("n_docs").alias("n_docs"))
+            .where("n_docs > 0")
         )
+
+    def _job_counts(self, docs: DataFrame) -> DataFrame:
+        counts = docs.groupBy("project").agg(F.count(F.lit(1)).alias("n_docs"))
+        return counts.select(
+            "project", F.array_distinct(self.tokenizer(F.col("project"))).alias("terms"), "n_docs"
+        )
+
+    def _postings_of(self, docs: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
+        return P.postings(
+            docs, self.all_keys, self.exact_keys, self.tokenizer, stop_words, self.doc_buckets
+        )
+
+    def _store_postings(self, rows: DataFrame) -> None:
+        (
+            rows.withColumn("tp", term_part(F.col("term"), self.term_parts))
+            .select(*KEY, "field", "term", "tf", "dl", "tp")
+            .write.partitionBy("tp")
+            .bucketBy(self.doc_buckets, *KEY)
+            .sortBy("field", "term")
+            .option("path", f"{self.path}/postings")
+            .saveAsTable(self._table)
+        )
+
+    def _store_counts(self, plus: DataFrame, minus: DataFrame | None, jobs: DataFrame) -> None:
+        """Term and field statistics of some postings, less those of others, and job counts."""
+        rows = plus.select(*KEY, "field", "term", "dl", F.lit(1).alias("sign"))
+        if minus is not None:
+            rows = rows.unionByName(minus.select(*KEY, "field", "term", "dl", F.lit(-1).alias("sign")))
+        (
+            rows.groupBy("field", "term")
+            .agg(F.sum("sign").cast("bigint").alias("df"))
+            .where("df != 0")
+            .withColumn("tp", term_part(F.col("term"), self.term_parts))
+            .repartition("tp", F.pmod(F.xxhash64("field", "term"), F.lit(16)))
+            .sortWithinPartitions("tp", "field", "term")
+            .write.partitionBy("tp")
+            .parquet(f"{self.path}/term_stats")
+        )
+        (
+            rows.groupBy(*KEY, "field", "sign")
+            .agg(F.max("dl").alias("dl"))
+            .groupBy("field")
+            .agg(
+                F.sum("sign").cast("bigint").alias("n_docs"),
+                F.sum(F.col("sign") * F.col("dl")).alias("sum_len"),
+            )
+            .write.parquet(f"{self.path}/field_stats")
+        )
+        jobs.write.parquet(f"{self.path}/jobs")
+
+    def _store_facts(self) -> None:
+        def listed(keys: tuple[str, ...]) -> Column:
+            return F.array(*[F.lit(k) for k in keys]).cast("array<string>")
+
+        self.spark.range(1, numPartitions=1).select(
+            F.lit(self.term_parts).alias("term_parts"),
+            F.lit(self.doc_buckets).alias("doc_buckets"),
+            listed(self.default_keys).alias("default_keys"),
+            listed(self.all_keys).alias("all_keys"),
+            listed(self.exact_keys).alias("exact_keys"),
+            F.lit(self.base.path if self.base else None).cast("string").alias("base"),
+        ).write.parquet(f"{self.path}/facts")

@@ -236,3 +236,48 @@ def test_one_hot_run_and_word(spark):
         rows = spark.createDataFrame([(0, "c:hot"), (1, "cold OR hot")], "qid bigint, q string")
         counts = {r.qid: r.n_hits for r in rank.page_counts(searcher.scored(rows)).collect()}
         assert counts == {0: 300, 1: 900}
+
+
+def test_index_follows_changes(spark, runs):
+    docs = D.build_documents(runs)
+    first = SearchIndex.build(docs, scratch_path(spark, "t"), doc_buckets=4)
+    gone = docs.where("project = 'web'")
+    changed = docs.where("project = 'app' AND number = 1")
+    new = changed.withColumn("c", F.lit("echo build disk"))
+    second = first.update(gone.unionByName(changed), new, scratch_path(spark, "t"))
+    added = spark.createDataFrame(
+        [("fresh", 1, "fresh", "1", "#1", None, "echo once more")], docs.schema
+    )
+    third = second.update(docs.limit(0), added, scratch_path(spark, "t"))
+    expected = docs.where("project != 'web' AND NOT (project = 'app' AND number = 1)")
+    expected = expected.unionByName(new).unionByName(added)
+    rebuilt = SearchIndex.build(expected, scratch_path(spark, "t"), doc_buckets=4)
+    compacted = third.compact(scratch_path(spark, "t"))
+    reopened = SearchIndex.open(spark, third.path)
+    rows = spark.createDataFrame(
+        list(enumerate([*CASES, "echo", "fresh echo", "web nothing", "disk"])), "qid bigint, q string"
+    )
+
+    def everything(index):
+        found = Searcher(index, expected).scored(rows).collect()
+        return sorted((r.qid, r.project, r.number, r.score) for r in found)
+
+    assert everything(third) == everything(rebuilt)
+    assert everything(compacted) == everything(rebuilt)
+    assert everything(reopened) == everything(rebuilt)
+    assert {r.project for r in third.jobs.collect()} == {"app", "app test", "folder/job", "fresh"}
+
+
+def test_pieces_are_one_field(spark, runs):
+    registry = FieldRegistry()
+    registry.register_text_field("artifact", lambda runs: runs)
+    pieces = spark.createDataFrame(
+        [("app", 1, "artifact", "alpha beta"), ("app", 1, "artifact", "alpha gamma")],
+        "project string, number bigint, field string, text string",
+    )
+    docs = D.build_documents(runs)
+    index = SearchIndex.build(docs, scratch_path(spark, "t"), registry, doc_buckets=4, pieces=pieces)
+    found = ask(spark, Searcher(index, docs), "beta gamma", "artifact:alpha", "c:alpha")
+    assert found == [{("app", 1)}, {("app", 1)}, set()]
+    row = index.postings.where("field = 'artifact' AND term = 'alpha'").first()
+    assert (row.tf, row.dl) == (2, 4)
