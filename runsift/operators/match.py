@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,7 +54,11 @@ def weighted_terms(terms: DataFrame, index: SearchIndex, small: bool) -> DataFra
         placed = terms.withColumn("tp", term_part(F.col("term"), index.term_parts))
     placed = placed.where("term != ''")
     asked = F.broadcast(placed) if small else placed
-    found = index.term_stats.join(asked, ["tp", "field", "term"])
+    parts = [p.join(asked, ["tp", "field", "term"]) for p in index.term_stat_parts()]
+    found = reduce(DataFrame.unionByName, parts)
+    if len(parts) > 1:
+        same = [c for c in found.columns if c != "df"]
+        found = found.groupBy(*same).agg(F.sum("df").alias("df")).where("df > 0")
     # One row per field, so its size does not grow with the data.
     stats = F.broadcast(index.field_stats)
     return (
@@ -72,7 +77,8 @@ def term_hits(weighted: DataFrame, index: SearchIndex, small: bool) -> DataFrame
     """
     on = ["tp", "field", "term"]
     asked = weighted.where("term != ''")
-    return index.postings.join(F.broadcast(asked) if small else asked, on)
+    asked = F.broadcast(asked) if small else asked
+    return reduce(DataFrame.unionByName, [p.join(asked, on) for p in index.posting_parts()])
 
 
 def score_documents(hits: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,24 +138,34 @@ class SearchIndex:
 
     # -- what searches read ---------------------------------------------------------------------
 
+    def posting_parts(self) -> list[DataFrame]:
+        """The postings of this index and its bases, each (project, number, field, term, tf, dl, tp).
+
+        Searches join each part by itself, so that each keeps its partitions and buckets.
+        """
+        own = self._own_postings
+        if self.base is None:
+            return [own]
+        removed = broadcast_if_small(self._read("removed", "project string, number bigint"))
+        return [*[p.join(removed, KEY, "left_anti") for p in self.base.posting_parts()], own]
+
+    def term_stat_parts(self) -> list[DataFrame]:
+        """(field, term, df, tp) parts; df is signed, the sum over the parts is the document count."""
+        own = self._read("term_stats", "field string, term string, df bigint, tp int")
+        return [own] if self.base is None else [*self.base.term_stat_parts(), own]
+
     @property
     def postings(self) -> DataFrame:
         """(project, number, field, term, tf, dl, tp)"""
-        if self.base is None:
-            return self._own_postings
-        removed = self.spark.read.schema("project string, number bigint").parquet(
-            f"{self.path}/removed"
-        )
-        kept = self.base.postings.join(broadcast_if_small(removed), KEY, "left_anti")
-        return kept.unionByName(self._own_postings)
+        return reduce(DataFrame.unionByName, self.posting_parts())
 
     @property
     def term_stats(self) -> DataFrame:
-        """(field, term, df, tp)"""
-        own = self._read("term_stats", "field string, term string, df bigint, tp int")
-        if self.base is None:
-            return own
-        both = self.base.term_stats.unionByName(own)
+        """(tp, field, term, df)"""
+        parts = self.term_stat_parts()
+        if len(parts) == 1:
+            return parts[0].select("tp", "field", "term", "df")
+        both = reduce(DataFrame.unionByName, parts)
         return both.groupBy("tp", "field", "term").agg(F.sum("df").alias("df")).where("df > 0")
 
     @property

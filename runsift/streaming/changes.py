@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from runsift.fields import FieldRegistry
+from runsift.operators.documents import build_documents
+from runsift.operators.maintain import runs_of
 from runsift.schemas import KEY, RUN_EVENTS
 from runsift.session import broadcast_if_small
 
@@ -89,6 +92,55 @@ def merge(base: DataFrame, events: DataFrame) -> DataFrame:
     return kept.unionByName(added, allowMissingColumns=True)
 
 
+# -- maintenance as events: nothing that is stored is rewritten ---------------------------------
+
+
+def put_events(docs: DataFrame, seq: int) -> DataFrame:
+    """Store or replace documents."""
+    return docs.withColumn("seq", F.lit(seq).cast("bigint")).withColumn("op", F.lit("changed"))
+
+
+def remove_events(keys: DataFrame, seq: int) -> DataFrame:
+    return keys.select(
+        *KEY, F.lit(seq).cast("bigint").alias("seq"), F.lit("run_deleted").alias("op")
+    )
+
+
+def drop_events(projects: DataFrame, seq: int) -> DataFrame:
+    """Delete whole jobs."""
+    return projects.select(
+        "project", F.lit(seq).cast("bigint").alias("seq"), F.lit("job_deleted").alias("op")
+    ).distinct()
+
+
+def rebuild_events(
+    runs: DataFrame, jobs: DataFrame, seq: int, registry: FieldRegistry | None = None
+) -> DataFrame:
+    """Overwrite-rebuild of jobs: each is dropped at ``seq`` and its runs are stored after that."""
+    projects = jobs.select(F.col("full_name").alias("project"))
+    docs = build_documents(runs_of(runs, jobs), registry)
+    return drop_events(projects, seq).unionByName(
+        put_events(docs, seq + 1), allowMissingColumns=True
+    )
+
+
+def changed_documents(
+    before: DataFrame, after: DataFrame, events: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(old, new): the documents that events touched, as they were and as they are; what an index
+    update takes. ``before`` and ``after`` are the live documents around the events."""
+    dropped = before.select(*KEY).join(
+        broadcast_if_small(job_deletions(events).select("project")), "project", "left_semi"
+    )
+    touched = events.where("op != 'job_deleted'").select(*KEY).unionByName(dropped).distinct()
+    touched = broadcast_if_small(touched)
+    fields = [c for c in before.columns if c != "seq"]
+    return (
+        before.join(touched, KEY, "left_semi").select(fields),
+        after.join(touched, KEY, "left_semi").select(fields),
+    )
+
+
 @dataclass(frozen=True)
 class ChangeLog:
     """Stored change feed: the batches since the last compaction, as plain Parquet folders.

@@ -175,3 +175,42 @@ def test_log_and_artifact_files(spark, tmp_path):
         ("app", 1, "out/a.txt", "grün"),
         ("f/job", 2, "out/a.txt", "grün"),
     }
+
+
+def test_maintenance_events_equal_table_operations(spark, sf):
+    from runsift.streaming import changes as C
+
+    runs, jobs = A.runs(spark, sf), A.jobs(spark, sf)
+    docs = D.build_documents(runs)
+    old = docs.where("number % 3 != 0").withColumn("p", F.lit("old "))
+    some = jobs.where("name IN ('src1', 'src2', 'idle-src1')")
+    gone = docs.where("number % 7 = 0").select("project", "number")
+    drop = spark.createDataFrame([("src4",)], "project string")
+    table = M.rebuild_overwrite(old, runs, some)
+    table = M.delete_jobs(M.remove_runs(table, gone), drop)
+    log = ChangeLog(spark, scratch_path(spark, "log"))
+    steps = [
+        C.put_events(old, 1),
+        C.rebuild_events(runs, some, 2),
+        C.remove_events(gone, 4),
+        C.drop_events(drop, 5),
+    ]
+    for at, step in enumerate(steps):
+        log.append(step, at)
+    assert rows(log.current().select(docs.columns)) == rows(table)
+
+
+def test_index_follows_the_feed(spark, sf):
+    from runsift.streaming.changes import changed_documents
+
+    events = A.run_events(spark, sf).where("project < 'u3'")
+    first, then = events.where("seq % 10 < 6"), events.where("seq % 10 >= 6")
+    before, after = latest_state(first), latest_state(first.unionByName(then))
+    index = SearchIndex.build(before.drop("seq"), scratch_path(spark, "t"), doc_buckets=4)
+    old, new = changed_documents(before, after, then)
+    updated = index.update(old, new, scratch_path(spark, "t"))
+    rebuilt = SearchIndex.build(after.drop("seq"), scratch_path(spark, "t"), doc_buckets=4)
+    columns = ["project", "number", "field", "term", "tf", "dl"]
+    assert rows(updated.postings.select(columns)) == rows(rebuilt.postings.select(columns))
+    assert rows(updated.term_stats) == rows(rebuilt.term_stats)
+    assert rows(updated.field_stats) == rows(rebuilt.field_stats)
