@@ -9,6 +9,7 @@ import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -56,6 +57,8 @@ def main() -> None:
     any_word = A.queries(spark, SF_DIR, ("{w3} OR {w4} OR {w5}",))
     shapes = A.queries(spark, SF_DIR)
     runs = A.runs(spark, SF_DIR)
+    some = docs.where("number % 100 = 0")
+    changed = some.withColumn("c", F.concat("c", F.lit(" changed")))
     steps = {
         "index_build": build,
         "search_all_words": lambda: drain(searcher().ranked(all_words)),
@@ -65,7 +68,7 @@ def main() -> None:
         "search_with_fragments": lambda: drain(searcher().search(all_words, runs, R.ROOT_URL)),
         "phrase_match": lambda: drain(R.phrase_match(spark, SF_DIR)),
         "wildcard_match": lambda: drain(R.wildcard_match(spark, SF_DIR)),
-        "tokenize": lambda: drain(R.tokenize(spark, SF_DIR)),
+        "index_update": lambda: built[-1].update(some, changed, scratch_path(spark, "bench-update")),
         "rebuild_overwrite": lambda: drain(R.rebuild_overwrite(spark, SF_DIR)),
         "ext_failed_tests": lambda: drain(R.ext_failed_tests(spark, SF_DIR)),
         "events_latest_state": lambda: drain(R.events_latest_state(spark, SF_DIR)),
