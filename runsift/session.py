@@ -49,6 +49,13 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the tables a DataFrame reads, from the optimizer's statistics; nothing is scanned."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+    return sum(int(str(size)) for size in sizes)
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     return measured_bytes(df) <= limit
 

@@ -17,7 +17,11 @@ from runsift.fields import FieldRegistry
 from runsift.functions.text import Tokenizer, tokens
 from runsift.operators import postings as P
 from runsift.schemas import KEY
-from runsift.session import broadcast_if_small
+from runsift.session import broadcast_if_small, source_bytes
+
+
+# Stored input bytes per document bucket.
+BUCKET_BYTES = 64 * 1024 * 1024
 
 
 def term_part(term: Column, parts: int) -> Column:
@@ -59,12 +63,14 @@ class SearchIndex:
         that comes in many rows per run and is not part of ``docs``."""
         registry = registry or FieldRegistry()
         spark = docs.sparkSession
-        # One bucket per shuffle task of this cluster; more term partitions the larger it is.
-        doc_buckets = doc_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if doc_buckets is None:
+            # As many as the data fills, up to the number of shuffle tasks this cluster is set to.
+            most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            doc_buckets = min(most, max(8, source_bytes(docs) // BUCKET_BYTES))
         index = cls(
             spark,
             path,
-            term_parts or min(256, max(4, doc_buckets // 4)),
+            term_parts or min(64, max(4, doc_buckets // 64)),
             doc_buckets,
             tuple(k for k in registry.default_keys if pieces is not None or k in docs.columns),
             tuple(k for k in registry.all_keys if k in docs.columns),
