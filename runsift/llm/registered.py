@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runsift.llm import chat, fingerprints, licenses, line_dedup, simhash_dedup, url_filter
+from runsift.llm import (
+    chat,
+    decontaminate,
+    fingerprints,
+    licenses,
+    line_dedup,
+    packing,
+    quality,
+    simhash_dedup,
+    token_files,
+    url_filter,
+)
 from runsift.llm.common import table
+from runsift.session import scratch_path
 
 URL_RULES = [
     ("block", "net", "/"),
@@ -46,24 +58,54 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path)
+    return token_files.read_tokens(spark, path, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "lines_kept", "lines_dropped", "text")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap", "word_at")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_chat_format, op4_fingerprints, op6_line_dedup, op8_simhash_dedup, op10_license_scan)
+    for f in (
+        op1_url_filter,
+        op2_chat_format,
+        op3_best_fit_packing,
+        op4_fingerprints,
+        op5_token_files,
+        op6_line_dedup,
+        op7_quality,
+        op8_simhash_dedup,
+        op9_decontamination,
+        op10_license_scan,
+    )
 }
