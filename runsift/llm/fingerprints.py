@@ -93,22 +93,29 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> Dat
     return pairs.select("q_high", "q_low", *WORDS_64, bits.alias("bits")).where(F.col("bits") <= radius).distinct()
 
 
+NO_ID = -(2**63)
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, tie, text): key and tie name a row's id and text and are never null, so one partitioning serves all."""
+    text = text_or_empty("text")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return docs.select("doc_id", key.alias("key"), F.xxhash64(text, F.col("doc_id").isNull()).alias("tie"), text.alias("text"))
+
+
 def document_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, tie, n_chars, copies, next_id, next_tie): documents descending by id, each with its successor.
+    """(doc_id, key, tie, n_chars, copies, next_key, next_tie): documents descending by id, each with its successor.
 
     Only ids, hashes and lengths are sorted. Ranges are sorted apart; a range's last document finds its successor in a
     table with one row per range.
     """
-    text = text_or_empty("text")
-    narrow = (
-        docs.select("doc_id", F.xxhash64(text).alias("tie"), F.length(text).alias("n_chars"))
-        .groupBy("doc_id", "tie")
-        .agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("copies"))
+    narrow = _named(docs).groupBy("key", "tie").agg(
+        F.max("doc_id").alias("doc_id"), F.max(F.length("text")).alias("n_chars"), F.count("*").alias("copies")
     )
-    order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
+    order = [F.col("key").desc(), F.col("tie")]
     ranges = written(narrow.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "document-ranges")
     inside = Window.partitionBy("range").orderBy(*order)
-    follower = F.struct("doc_id", "tie")
+    follower = F.struct("key", "tie")
     rows = ranges.withColumns({"follower": F.lead(follower).over(inside), "place": F.row_number().over(inside)})
     firsts = rows.where("place = 1").select("range", follower.alias("first"))
     across = Window.orderBy("range")
@@ -119,36 +126,43 @@ def document_order(docs: DataFrame) -> DataFrame:
     rows = rows.join(F.broadcast(firsts), "range")
     after = F.coalesce("follower", "beyond")
     return rows.select(
-        "doc_id", "tie", "n_chars", "copies", after["doc_id"].alias("next_id"), after["tie"].alias("next_tie")
+        "doc_id", "key", "tie", "n_chars", "copies", after["key"].alias("next_key"), after["tie"].alias("next_tie")
     )
 
 
 def edited_texts(docs: DataFrame, order: DataFrame) -> DataFrame:
-    """(doc_id, tie, copy, copies, text, edited): the last third of each text gives way to the next text's beginning.
+    """(doc_id, key, tie, copy, copies, text, edited): the last third of each text gives way to the next text's beginning.
 
     The texts are shuffled once by document; of the next document only the characters that are needed travel.
     """
-    text = text_or_empty("text")
-    own = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("tie"))
-    own = own.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy("tie")))
+    equal = Window.partitionBy("key", "tie").orderBy("tie")
+    # Both uses of the texts below need the same columns, so that they share one shuffle.
+    own = _named(docs).select("key", "tie", "text").withColumns(
+        {"copy": F.row_number().over(equal), "first": F.lag(F.lit(1)).over(equal).isNull()}
+    )
     wanted = order.select(
-        F.col("next_id").alias("at_id"),
-        F.col("next_tie").alias("at_tie"),
-        F.col("doc_id").alias("for_id"),
+        F.col("next_key").alias("key"),
+        F.col("next_tie").alias("tie"),
+        F.col("key").alias("for_key"),
         F.col("tie").alias("for_tie"),
         F.floor(F.col("n_chars") / 3).cast("int").alias("need"),
-        F.col("copies").alias("copies"),
+        "doc_id",
+        "copies",
     )
-    begins = own.where("copy = 1").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("tie") == F.col("at_tie"))
+    begins = own.where("first").join(wanted, ["key", "tie"]).select(
+        F.col("for_key").alias("key"),
+        F.col("for_tie").alias("tie"),
+        "doc_id",
+        "copies",
+        "need",
+        F.substring("text", F.lit(1), F.col("need")).alias("begin"),
     )
-    begins = begins.select("for_id", "for_tie", "copies", "need", F.substring("text", F.lit(1), F.col("need")).alias("begin"))
-    rows = own.join(begins, F.col("doc_id").eqNullSafe(F.col("for_id")) & (F.col("tie") == F.col("for_tie")))
+    rows = own.join(begins, ["key", "tie"])
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("need"))
     following = F.when(
         F.col("copy") < F.col("copies"), F.substring("text", F.lit(1), F.col("need"))
     ).otherwise(F.col("begin"))
-    return rows.select("doc_id", "tie", "copy", "copies", "text", F.concat(kept, following).alias("edited"))
+    return rows.select("doc_id", "key", "tie", "copy", "copies", "text", F.concat(kept, following).alias("edited"))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -158,9 +172,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     """
     order = written(document_order(docs), "document-order")
     texts = edited_texts(docs, order)
-    key = ["doc_id", "tie", "copy", "copies", "n_chars", "edited_sha256"]
+    key = ["doc_id", "key", "tie", "copy", "copies", "n_chars", "edited_sha256"]
     both = texts.select(
-        *key[:4],
+        *key[:5],
         F.length("text").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         F.posexplode(F.array("text", "edited")).alias("version", "text"),
@@ -171,12 +185,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("version") == 0, pair)).alias("own"), F.max(F.when(F.col("version") == 1, pair)).alias("edited")
     )
     rows = written(rows, "fingerprints")
-    successors = order.select("doc_id", "tie", "next_id", "next_tie").join(
-        rows.where("copy = 1").select(F.col("doc_id").alias("n_id"), F.col("tie").alias("n_tie"), F.col("own").alias("next")),
-        F.col("next_id").eqNullSafe(F.col("n_id")) & (F.col("next_tie") == F.col("n_tie")),
-    )
-    successors = successors.select(F.col("doc_id").alias("s_id"), F.col("tie").alias("s_tie"), "next")
-    rows = rows.join(successors, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("tie") == F.col("s_tie")))
+    firsts = rows.where("copy = 1").select(F.col("key").alias("next_key"), F.col("tie").alias("next_tie"), F.col("own").alias("next"))
+    successors = order.join(firsts, ["next_key", "next_tie"]).select("key", "tie", "next")
+    rows = rows.join(successors, ["key", "tie"])
     following = F.when(F.col("copy") < F.col("copies"), F.col("own")).otherwise(F.col("next"))
     halves = lambda c: (c["fp_high"], c["fp_low"])
     return rows.select(
@@ -188,5 +199,3 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         likeness(halves(F.col("own")), halves(F.col("edited"))).alias("near_edited"),
         likeness(halves(F.col("own")), halves(following)).alias("near_next"),
     )
-
-
