@@ -92,7 +92,7 @@ def near_links(lines: DataFrame) -> DataFrame:
     )
     rows = lines.select(*LINE, "pos", F.explode(variants).alias("v"))
     v1, v2 = _hashes(F.col("v.rest"))
-    rows = rows.select(*LINE, "pos", F.col("v.place").alias("place"), v1.alias("v1"), v2.alias("v2"))
+    rows = written(rows.select(*LINE, "pos", F.col("v.place").alias("place"), v1.alias("v1"), v2.alias("v2")), "variants")
     earliest = rows.groupBy("v1", "v2", "place").agg(
         F.min(F.struct("pos", *LINE)).alias("e"), F.count("*").alias("n")
     )
