@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty
+from runsift.llm.common import ascii_lower, text_or_empty
 
 BREAK = "\x01"
 # Sentence identifiers and the sentences (as the breaks below cut them) of licences and their usual notices. Fixed values.
@@ -87,7 +87,7 @@ BREAKS = [
 
 
 def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(ascii_lower(sentence), r"[^a-z0-9]+", " "))
 
 
 def _plain(sentence: str) -> str:

@@ -1,5 +1,136 @@
-"""DuckDB SQL that must agree with the queries, where SQL can say it."""
+"""DuckDB SQL that must agree with the queries, where SQL can say it.
+
+The others (packing, fingerprints, token files, classifier, SimHash, decontamination) need a tokenizer, XXH64 or a model;
+tests compare them with brute-force versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from runsift.llm.common import LOWER, UPPER
+from runsift.llm.licenses import RULES, SENTENCES, known_sentences
+from runsift.llm.line_dedup import MIN_CHARS
+from runsift.llm.registered import AWKWARD_CONVERSATION, AWKWARD_TEXT, URL_RULES
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _values(rows: list[tuple[str, ...]]) -> str:
+    return ", ".join("(" + ", ".join(map(_text, row)) + ")" for row in rows)
+
+
+OP1 = f"""
+WITH rules(action, rule_host, rule_path) AS (VALUES {_values(URL_RULES)}),
+cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+),
+fit AS (
+  SELECT page_id, rule_host || rule_path AS rule, action,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) AS n
+  FROM parts JOIN rules
+    ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
+FROM parts p LEFT JOIN fit f ON f.page_id = p.page_id AND f.n = 1
+"""
+
+_ESCAPED = "replace(replace(replace({0}, '\\', '\\\\'), '</', '<\\/'), '##', '#\\#')"
+OP2 = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES ({AWKWARD_CONVERSATION}, 0, 'user', {_text(AWKWARD_TEXT)}),
+                   ({AWKWARD_CONVERSATION}, 1, 'assistant', {_text(AWKWARD_TEXT)})
+),
+turns AS (
+  SELECT *, 4 + length(replace({_ESCAPED.format("role")}, chr(10), '\\n')) + 1
+            + length({_ESCAPED.format("text")}) + 8 AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM given
+),
+running AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS so_far FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(so_far) FILTER (role = 'assistant' OR n = n_turns))::BIGINT AS formatted_chars
+FROM running GROUP BY conv_id
+"""
+
+OP6 = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (
+  SELECT doc_id, u.i AS line_no, lines[u.i] AS line, row_number() OVER (ORDER BY doc_id, u.i) AS pos
+  FROM split, unnest(range(1, len(lines) + 1)) AS u(i)
+),
+texts AS (SELECT line, length(line) AS size, min(pos) AS pos FROM placed WHERE length(line) >= {MIN_CHARS} GROUP BY line),
+halves AS (
+  SELECT *, c, s.side, CASE s.side WHEN 0 THEN left(line, c // 2) ELSE right(line, c - c // 2) END AS half
+  FROM (SELECT *, unnest([size, size - 1]) AS c FROM texts), (VALUES (0), (1)) AS s(side)
+),
+pairs AS (
+  SELECT DISTINCT a.line AS late, b.line AS early,
+         list_max(list_filter(range(0, least(a.size, b.size) + 1), lambda i: left(a.line, i) = left(b.line, i))) AS same
+  FROM halves a JOIN halves b ON a.c = b.c AND a.side = b.side AND a.half = b.half AND a.pos > b.pos
+),
+near AS (
+  SELECT DISTINCT late FROM pairs
+  WHERE CASE length(late) - length(early)
+          WHEN 0 THEN substr(late, same + 2) = substr(early, same + 2)
+          WHEN 1 THEN substr(late, same + 2) = substr(early, same + 1)
+          WHEN -1 THEN substr(late, same + 1) = substr(early, same + 2)
+          ELSE false END
+),
+judged AS (
+  SELECT p.*, t.line IS NOT NULL AND (t.pos < p.pos OR n.late IS NOT NULL) AS gone
+  FROM placed p LEFT JOIN texts t ON t.line = p.line LEFT JOIN near n ON n.late = p.line
+)
+SELECT doc_id, count(*) FILTER (NOT gone) AS lines_kept, count(*) FILTER (gone) AS lines_dropped,
+       coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS text
+FROM judged GROUP BY doc_id
+"""
+
+
+def _license_sql() -> str:
+    known = known_sentences(SENTENCES)
+    cases = " ".join(f"WHEN {_text(sentence)} THEN {_text(name)}" for sentence, name in known.items())
+    found = "sentence_ids"
+    for steps, license_id in RULES:
+        found = f"replace({found}, {_text(''.join(f'<{s}>' for s in steps))}, {_text('{' + license_id + '}')})"
+    space = "[ \\t\\r\\n\\f]"
+    return f"""
+WITH marked AS (
+  SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''),
+    '([.!?;:]["'')]?){space}+', '\\1' || chr(1), 'g'), '\\n[ \\t\\r\\f]*\\n', chr(1), 'g'),
+    '\\n([ \\t/*#;-]*[A-Z][a-z ])', chr(1) || '\\1', 'g') AS t
+  FROM documents
+),
+cut AS (
+  SELECT doc_id, list_filter(list_transform(string_split(t, chr(1)), lambda s:
+    trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))), lambda s: length(s) > 2) AS parts
+  FROM marked
+),
+named AS (
+  SELECT doc_id, regexp_replace(array_to_string(list_transform(parts, lambda s:
+    '<' || CASE s {cases} ELSE '?' END || '>'), ''), '(<\\?>)+', '<?>', 'g') AS sentence_ids
+  FROM cut
+),
+ruled AS (SELECT *, regexp_extract_all({found}, '\\{{([^}}]*)\\}}', 1) AS names FROM named)
+SELECT doc_id, sentence_ids,
+       array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licenses
+FROM ruled
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_url_filter": OP1,
+    "op2_chat_format": OP2,
+    "op6_line_dedup": OP6,
+    "op10_license_scan": _license_sql(),
+}
