@@ -33,6 +33,17 @@ def ascii_words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to clash with no column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def written_small(df: DataFrame, label: str, row_bytes: int = 64) -> DataFrame:
     """Write a narrow table once; broadcast what was written if its counted rows fit, else leave the join to shuffle."""
     kept = written(df, label)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty, written_small
+from runsift.llm.common import free_names, text_or_empty, written_small
 from runsift.session import written
 
 K1, B = 1.2, 0.75
@@ -278,8 +278,9 @@ def _searched(rows: DataFrame, index: ItemIndex) -> DataFrame:
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents, with all columns, that leak no item."""
+    doc, tie = free_names(docs, "leaks_id", "leaks_tie")
     leaks = written(findings(docs.select("doc_id", "text"), items), "leaks")
-    leaks = leaks.select(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).distinct()
+    leaks = leaks.select(F.col("doc_id").alias(doc), F.col("tie").alias(tie)).distinct()
     leaks = written_small(leaks, "leaking-documents", 32)
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc"))
-    return docs.join(leaks, same & (F.xxhash64(text_or_empty(docs["text"])) == F.col("__tie")), "left_anti")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc))
+    return docs.join(leaks, same & (F.xxhash64(text_or_empty(docs["text"])) == F.col(tie)), "left_anti")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty, written_small
+from runsift.llm.common import free_names, text_or_empty, written_small
 from runsift.session import written
 
 MIN_CHARS = 32
@@ -126,7 +126,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int =
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     length = F.length("line")
-    judged = _numbered_lines(docs).where(length >= min_chars)
+    judged = _numbered_lines(docs).where(length >= max(min_chars, 1))
     first_pieces = COARSE_PIECES[0]
     lines = written(
         judged.groupBy(*LINE).agg(
@@ -155,24 +155,18 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int =
 
 
 def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1) -> DataFrame:
-    """The documents without the lines that go: all columns of `docs`, then `lines_kept` and `lines_dropped`."""
-    names = docs.columns
-    base = docs.select("doc_id", "text")
-    gone = dropped_lines(base, min_chars, max_edits)
-    gone = written_small(
-        gone.select(F.col("doc_id").alias("__doc"), F.col("row_key").alias("__row"), F.col("dropped").alias("__gone")),
-        "dropped-lines",
-        256,
-    )
+    """The documents without the lines that go: all columns of `docs`, then lines kept and lines dropped."""
+    doc, row, lost = free_names(docs, "lost_from", "lost_row", "lost_lines")
+    gone = dropped_lines(docs.select("doc_id", "text"), min_chars, max_edits)
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("row_key").alias(row), F.col("dropped").alias(lost))
+    gone = written_small(gone, "dropped-lines", 256)
     text = text_or_empty(docs["text"])
-    joined = docs.join(
-        gone, docs["doc_id"].eqNullSafe(gone["__doc"]) & (F.xxhash64(text) == gone["__row"]), "left"
-    )
-    split = F.split(text, "\n")
-    kept = F.filter(split, lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    changed = F.col("__gone").isNotNull()
-    columns = [docs[c] if c != "text" else F.when(changed, F.array_join(kept, "\n")).otherwise(docs[c]).alias(c) for c in names]
-    n_gone = F.when(changed, F.size("__gone")).otherwise(0)
+    joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(row)), "left")
+    lines = F.split(text, "\n")
+    kept = F.filter(lines, lambda line, i: ~F.array_contains(F.col(lost), i))
+    changed = F.col(lost).isNotNull()
+    columns = [F.when(changed, F.array_join(kept, "\n")).otherwise(docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns]
+    n_gone = F.when(changed, F.size(lost)).otherwise(0)
     return joined.select(
-        *columns, (F.size(split) - n_gone).cast("long").alias("lines_kept"), n_gone.cast("long").alias("lines_dropped")
+        *columns, (F.size(lines) - n_gone).cast("long").alias("lines_kept"), n_gone.cast("long").alias("lines_dropped")
     )

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty
+from runsift.llm.common import free_names, text_or_empty
 
 MAX_LABELLED = 4096
 DIMENSIONS = 48
@@ -219,6 +219,6 @@ def scored(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Dat
 def accepted(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
     """The documents, with all columns, whose score says good."""
     model = fitted(docs.select("doc_id", "text"), learnable(labels), limit)
-    names = docs.columns
-    rows = docs.withColumn("__quality_score", score_column(docs, model, text_or_empty("text")))
-    return rows.where(F.col("__quality_score") >= ACCEPTED_FROM).select(*names)
+    (score,) = free_names(docs, "quality_score")
+    rows = docs.withColumn(score, score_column(docs, model, text_or_empty("text")))
+    return rows.where(F.col(score) >= ACCEPTED_FROM).select(*docs.columns)

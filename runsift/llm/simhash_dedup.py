@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import ascii_lower, ascii_words, hex16, shingle_rows, text_or_empty, vote_sums, voted_bits, written_small
+from runsift.llm.common import ascii_lower, ascii_words, free_names, hex16, shingle_rows, text_or_empty, vote_sums, voted_bits, written_small
 from runsift.llm.components import components
 from runsift.session import written
 
@@ -199,7 +199,7 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Of rows repeated with the same id and text any one stays.
     """
-    names = docs.columns
+    doc, tie, times_name = free_names(docs, "stays_id", "stays_tie", "stays_times")
     rows = written(classified(docs.select("doc_id", "text"), radius), "simhash-classified")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
     stays = rows.groupBy("root").agg(F.min(order).alias("s"))
@@ -209,9 +209,9 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         (stays["root"] == times["root"])
         & stays["s.doc_id"].eqNullSafe(times["doc_id"])
         & (stays["s.tie"] == times["tie"]),
-    ).select(F.col("s.doc_id").alias("__doc"), F.col("s.tie").alias("__tie"), "times")
+    ).select(F.col("s.doc_id").alias(doc), F.col("s.tie").alias(tie), F.col("times").alias(times_name))
     stays = written_small(stays, "simhash-stays")
-    own = docs["doc_id"].eqNullSafe(F.col("__doc")) & (F.xxhash64(text_or_empty(docs["text"])) == F.col("__tie"))
-    single = docs.join(stays.where("times = 1"), own, "left_semi")
-    repeated = docs.join(stays.where("times > 1"), own).dropDuplicates(["__doc", "__tie"])
-    return single.select(*names).union(repeated.select(*[docs[c] for c in names]))
+    own = docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(text_or_empty(docs["text"])) == F.col(tie))
+    single = docs.join(stays.where(F.col(times_name) == 1), own, "left_semi")
+    repeated = docs.join(stays.where(F.col(times_name) > 1), own).dropDuplicates([doc, tie])
+    return single.union(repeated.select(*[docs[c] for c in docs.columns]))

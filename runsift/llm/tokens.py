@@ -40,9 +40,9 @@ class _Chunks(dict):
 def _pieces_of(chunk: str) -> tuple[str, ...]:
     """A word and the marks after it are encoded apart, as the vocabulary splits them itself."""
     stem = chunk.rstrip(TAIL_MARKS)
-    if not stem.isalpha():
+    if not _is_latin_word(stem):
         return (chunk,)
-    word = stem.lower() if _is_latin_word(stem) else stem
+    word = stem.lower()
     return (word, chunk[len(stem) :]) if len(stem) < len(chunk) else (word,)
 
 

@@ -34,16 +34,27 @@ from runsift.session import written
 MAX_BYTES = 32 * 1024 * 1024
 FIRST_RATE, LATER_RATE = 2.0**-10, 0.5
 MAX_LEVELS = 64
+# Bits by which each further level turns the hashes; odd, so that no two levels turn alike.
+LEVEL_TURN = 11
 ACTIONS = ("block", "allow")
 
 
+def _turned(h: np.ndarray, turn: int) -> np.ndarray:
+    bits = h.view(np.uint64)
+    return ((bits << np.uint64(turn)) | (bits >> np.uint64(64 - turn))).view(np.int64) if turn else h
+
+
 @dataclass(frozen=True)
 class Level:
+    """A Bloom filter. Each level turns the two hashes by its own number of bits, so that levels err independently."""
+
     bits: int
     hashes: int
+    turn: int
     words: np.ndarray
 
     def passes(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        h1, h2 = _turned(h1, self.turn), _turned(h2, self.turn)
         start, step = np.mod(h1, self.bits), np.mod(h2, self.bits - 1) + 1
         ok = np.ones(len(h1), bool)
         for i in range(self.hashes):
@@ -113,7 +124,7 @@ def _passing(keys: DataFrame, level: Level) -> DataFrame:
     return keys.mapInArrow(test, keys.schema)
 
 
-def _level(keys: DataFrame, rate: float, max_bytes: int) -> Level:
+def _level(keys: DataFrame, rate: float, depth: int, max_bytes: int) -> Level:
     """A Bloom filter of the given keys; Spark sets the bits word by word."""
     n = keys.count()
     hashes = max(1, round(-math.log2(rate)))
@@ -121,7 +132,12 @@ def _level(keys: DataFrame, rate: float, max_bytes: int) -> Level:
     if bits / 8 > max_bytes:
         raise ValueError(f"a filter of {bits // 8} bytes is over the limit of {max_bytes}; use more shards")
     steps = F.lit(list(range(hashes))).cast("array<long>")
-    start, step = F.pmod("h1", F.lit(bits)), F.pmod("h2", F.lit(bits - 1)) + 1
+    turn = depth * LEVEL_TURN % 64
+
+    def turned(name: str) -> Column:
+        return F.shiftleft(name, turn).bitwiseOR(F.shiftrightunsigned(name, 64 - turn)) if turn else F.col(name)
+
+    start, step = F.pmod(turned("h1"), F.lit(bits)), F.pmod(turned("h2"), F.lit(bits - 1)) + 1
     at = keys.select(F.explode(F.transform(steps, lambda i: F.pmod(start + i * step, F.lit(bits)))).alias("at"))
     set_words = at.groupBy(F.floor(F.col("at") / 64).cast("long").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("value")
@@ -129,7 +145,7 @@ def _level(keys: DataFrame, rate: float, max_bytes: int) -> Level:
     words = np.zeros(bits // 64, np.uint64)
     table = set_words.toArrow()
     words[table["word"].to_numpy()] = table["value"].to_numpy().view(np.uint64)
-    return Level(bits, hashes, words)
+    return Level(bits, hashes, turn, words)
 
 
 def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_BYTES) -> Cascade:
@@ -138,7 +154,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_B
     The universe is read once, by a map; what passes the first level is what later levels work on.
     """
     inside = written(_hashed(listed.select("key").distinct()), "listed-keys")
-    levels = [_level(inside, FIRST_RATE, max_bytes)]
+    levels = [_level(inside, FIRST_RATE, 0, max_bytes)]
     passed = _passing(_hashed(universe.select("key")), levels[0]).distinct()
     sides = passed.withColumn("own", F.lit(0)).union(inside.withColumn("own", F.lit(1)))
     wrong = sides.groupBy("key", "h1", "h2").agg(F.max("own").alias("own")).where("own = 0").drop("own")
@@ -146,7 +162,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_B
     while not wrong.isEmpty():
         if len(levels) >= MAX_LEVELS:
             raise ValueError("two different keys have the same 128-bit hash")
-        levels.append(_level(wrong, LATER_RATE, max_bytes))
+        levels.append(_level(wrong, LATER_RATE, len(levels), max_bytes))
         inside, wrong = wrong, written(_passing(inside, levels[-1]), "false-positives")
     return Cascade(tuple(levels))
 
