@@ -55,7 +55,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             columns: dict[str, list] = {n: [] for n in _PIECES_ARROW.names}
-            texts = encoder(vocabulary_path(vocabulary)).ids(batch["text"].to_pylist(), end_id)
+            texts = encoder(vocabulary_path(vocabulary)).ids(batch["text"], end_id)
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), texts, strict=True):
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]

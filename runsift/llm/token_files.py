@@ -11,7 +11,7 @@ Layout of a token folder, every part a Parquet table in the shared store:
 
 Shards are ranges of document ids in ascending order (null first, equal ids by text), one per write task. A frame holds
 the width of an id in bytes and the ids, little endian, compressed with a dictionary trained on serialised id arrays of
-a bounded sample: `SAMPLE_DOCS` texts by smallest hash, `SAMPLE_CHARS` characters of each. The sample only tunes the
+a bounded sample: `SAMPLE_DOCS` distinct texts by smallest hash, `SAMPLE_CHARS` characters of each. The sample only tunes the
 compression; all documents are written whole. Only the table of shards, one row per task, is held by every executor.
 
 Defined cases: a null text is empty and has the end id only; repeated rows are written each; where the sample is too
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runsift.llm.common import text_or_empty
-from runsift.llm.tokens import END_ID, VOCABULARY, encoder, vocabulary_path
+from runsift.llm.tokens import END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 20_000
 DICTIONARY_BYTES = 64 * 1024
@@ -64,8 +63,11 @@ def deserialised(data: bytes) -> np.ndarray:
 def trained_dictionary(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> bytes:
     """Dictionary of a bounded sample; the driver sees no more than the sample."""
     text = text_or_empty("text")
-    sample = docs.select(F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.xxhash64(text).alias("h"))
-    texts = [row.text for row in sample.orderBy("h", "text").limit(SAMPLE_DOCS).collect()]
+    order = F.xxhash64(text)
+    # The bound is found among hashes, so that tasks send the driver numbers, and only the chosen texts follow.
+    bound = docs.select(order.alias("h")).distinct().orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
+    chosen = docs.where(order <= bound).select(F.substring(text, 1, SAMPLE_CHARS).alias("text"), order.alias("h"))
+    texts = [row.text for row in chosen.dropDuplicates(["h"]).orderBy("h").limit(SAMPLE_DOCS).collect()]
     samples = [serialised(ids) for ids in encoder(vocabulary_path(vocabulary)).ids(texts, end_id)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -121,7 +123,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
         block = _Block(TaskContext.get().partitionId(), name)
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
-            for doc_id, own in zip(ids, encoder(vocabulary_path(vocabulary)).ids(batch["text"].to_pylist(), end_id), strict=True):
+            for doc_id, own in zip(ids, encoder(vocabulary_path(vocabulary)).ids(batch["text"], end_id), strict=True):
                 block.add(doc_id, compressor.compress(serialised(own)), len(own))
                 if block.size >= BLOCK_BYTES:
                     yield block.closed()
@@ -174,7 +176,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                     "doc_id": block["doc_ids"],
                     "start": block["starts"],
                     "n_tokens": [len(a) for a in arrays],
-                    "ids_crc32": [zlib.crc32(a.astype("<u4").tobytes()) for a in arrays],
+                    "ids_crc32": [crc32_of(a) for a in arrays],
                 }
                 if with_ids:
                     rows["ids"] = [a.astype(np.int64) for a in arrays]

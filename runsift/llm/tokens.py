@@ -9,14 +9,19 @@ from __future__ import annotations
 import functools
 import os
 import zlib
-from collections.abc import Iterable
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Distinct chunks a worker remembers before it starts anew.
 MEMO_CHUNKS = 1_000_000
+# Bytes of text whose distinct chunks are looked up together.
+BATCH_BYTES = 1 << 24
 # ASCII marks that may end a chunk; a run of them is a token group of its own.
 TAIL_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Byte-level vocabularies show the printable Latin-1 bytes as themselves and the others, in order, from U+0100 on.
@@ -24,19 +29,6 @@ _SHOWN = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
-class _Chunks(dict):
-    """Number of each distinct chunk; a new chunk gets the next number and waits to be encoded."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.waiting: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = number = len(self)
-        self.waiting.append(chunk)
-        return number
-
-
 def _pieces_of(chunk: str) -> tuple[str, ...]:
     """A word and the marks after it are encoded apart, as the vocabulary splits them itself."""
     stem = chunk.rstrip(TAIL_MARKS)
@@ -63,52 +55,69 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._chunks = _Chunks()
-        self._pieces: dict[str, list[int]] = {}
+        self._chunks: dict[str, int] = {}
+        self._pieces: dict[str, bytes] = {}
         self._flat = np.zeros(0, np.uint32)
         self._starts = np.zeros(1, np.int64)
 
-    def _learn(self) -> None:
-        waiting = self._chunks.waiting
-        if not waiting:
-            return
-        split = [_pieces_of(chunk) for chunk in waiting]
-        new = {piece for pieces in split for piece in pieces} - self._pieces.keys()
-        words = [piece for piece in new if _is_latin_word(piece)]
-        other = list(new.difference(words))
-        for word in words:
-            shown = word.lower().encode().decode("latin-1").translate(BYTE_LETTERS)
-            self._pieces[word] = [token.id for token in self._model.tokenize(shown)]
-        encodings = self._tokenizer.encode_batch(other, add_special_tokens=False)
-        self._pieces.update((p, e.ids) for p, e in zip(other, encodings, strict=True))
-        found = [[i for piece in pieces for i in self._pieces[piece]] for pieces in split]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
-        self._flat = np.concatenate([self._flat, flat])
+    def _learn(self, chunks: list[str]) -> None:
+        """Give new chunks numbers, in order, and store their ids behind those known."""
+        split = [_pieces_of(chunk) for chunk in chunks]
+        pieces = self._pieces
+        new = {piece for parts in split for piece in parts} - pieces.keys()
+        other = []
+        for piece in new:
+            if _is_latin_word(piece):
+                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+                pieces[piece] = array("I", [token.id for token in self._model.tokenize(shown)]).tobytes()
+            else:
+                other.append(piece)
+        for piece, encoding in zip(
+            other, self._tokenizer.encode_batch(other, add_special_tokens=False), strict=True
+        ):
+            pieces[piece] = array("I", encoding.ids).tobytes()
+        found = [pieces[parts[0]] if len(parts) == 1 else pieces[parts[0]] + pieces[parts[1]] for parts in split]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        self._chunks.update(zip(chunks, range(len(self._chunks), len(self._chunks) + len(chunks)), strict=True))
+        self._flat = np.concatenate([self._flat, np.frombuffer(b"".join(found), np.uint32)])
         self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
-        self._chunks.waiting = []
 
-    def ids(self, texts: Iterable[str | None], end_id: int | None = END_ID) -> list[np.ndarray]:
+    def _numbers(self, distinct: list[str]) -> np.ndarray:
+        lookup = self._chunks.get
+        numbers = np.fromiter((lookup(chunk, -1) for chunk in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = len(self._chunks) + np.arange(len(new))
+            self._learn([distinct[i] for i in new.tolist()])
+        return numbers
+
+    def ids(self, texts: pa.Array | list[str | None], end_id: int | None = END_ID) -> Iterator[np.ndarray]:
         """One uint32 array per text (null: empty), with the end id appended unless it is None."""
-        numbers = []
-        for text in texts:
-            parts = (text or "").replace("\n", " ").split(" ")
-            numbers.append(np.fromiter(map(self._chunks.__getitem__, parts), np.int64, len(parts)))
-        self._learn()
-        out = []
-        for index in numbers:
-            begins = self._starts[index]
-            sizes = self._starts[index + 1] - begins
-            total = int(sizes.sum())
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts, "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)) // BATCH_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)] if len(texts) else []
+        for begin, end in zip(edges, edges[1:], strict=False):
+            yield from self._batch(texts.slice(begin, end - begin), end_id)
+
+    def _batch(self, texts: pa.Array, end_id: int | None) -> Iterator[np.ndarray]:
+        chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = pc.dictionary_encode(chunks.flatten())
+        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        # Per text: its chunks' ids one after the other, copied by index.
+        edges = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
+        for begin, end in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+            own = numbers[begin:end]
+            begins = self._starts[own]
+            sizes = self._starts[own + 1] - begins
             ends = np.cumsum(sizes)
+            total = int(ends[-1]) if len(ends) else 0
             ids = np.empty(total + (end_id is not None), np.uint32)
             ids[:total] = self._flat[np.arange(total) + np.repeat(begins - ends + sizes, sizes)]
             if end_id is not None:
                 ids[total] = end_id
-            out.append(ids)
+            yield ids
         if len(self._chunks) > MEMO_CHUNKS:
             self._forget()
-        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -1,5 +1,6 @@
 """The ten operators against brute force, on small tables with all the awkward rows."""
 
+import functools
 import re
 import zlib
 
@@ -181,7 +182,7 @@ def sequences_hold(rows, capacity):
 
 def test_packing_of_documents(spark, docs, rows, no_docs):
     got = packing.pack_documents(docs).collect()
-    encoded = tokens.encoder(tokens.vocabulary_path()).ids([t for _, t in rows])
+    encoded = list(tokens.encoder(tokens.vocabulary_path()).ids([t for _, t in rows]))
     want = sorted(
         (str(i), k, at, len(ids[at : at + 4096]), tokens.crc32_of(ids[at : at + 4096]))
         for (i, _), ids in zip(rows, encoded, strict=True)
@@ -268,7 +269,7 @@ def test_token_files(spark, docs, rows, no_docs):
     token_files.write_tokens(docs, path)
     got = token_files.read_tokens(spark, path).orderBy("start").collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    encoded = tokens.encoder(tokens.vocabulary_path()).ids([t for _, t in order])
+    encoded = list(tokens.encoder(tokens.vocabulary_path()).ids([t for _, t in order]))
     starts = np.cumsum([0] + [len(i) for i in encoded])
     assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [
         (i, s, len(e)) for (i, _), s, e in zip(order, starts.tolist(), encoded, strict=False)
@@ -291,12 +292,17 @@ def test_wide_ids_are_stored_whole():
 TOKENIZER_TEXT = st.text(st.characters(codec="utf-8"), max_size=60) | st.text("aAbB .,!'s\t\nßİΣé\u0301##", max_size=40)
 
 
+@functools.cache
+def plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.vocabulary_path())
+
+
 @settings(deadline=None, max_examples=300)
 @given(st.lists(TOKENIZER_TEXT, max_size=5))
 def test_ids_are_the_tokenizers_own(texts):
-    from tokenizers import Tokenizer
-
-    plain = Tokenizer.from_file(tokens.vocabulary_path())
+    plain = plain_tokenizer()
     got = tokens.encoder(tokens.vocabulary_path()).ids(texts, end_id=None)
     assert [g.tolist() for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
 
