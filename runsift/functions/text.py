@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from runsift.schemas import MAX_TOKEN_CHARS, QUERY_PIECE, SPECIAL_CHARS, TOKEN, WORD_CHARS
 
-Tokenizer = Callable[[Column], Column]
-
-# Logs above this size are cut into lines before they are tokenised, so no row holds a huge array.
+# Logs above this size are cut into lines before they are tokenised, so no row holds a huge array; only for tokenizers
+# whose tokens never reach over a line end.
 CHUNK_BYTES = 1 << 20
 
 
@@ -28,24 +28,36 @@ def _split_long(tokens: Column) -> Column:
     ).otherwise(tokens)
 
 
-def pattern_tokenizer(pattern: str) -> Tokenizer:
-    """A tokenizer for the given token pattern; tokens over the length limit are cut."""
+@dataclass(frozen=True)
+class Tokenizer:
+    """Tokens by pattern; those over the length limit are cut.
+
+    ``line_safe`` promises that a token never holds a line break nor depends on what stands beyond
+    one. Only then may large texts be tokenised line by line.
+    """
+
+    pattern: str
+    line_safe: bool = False
+
+    def __call__(self, text: Column) -> Column:
+        return _let(F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0)), _split_long)
 
-    def tokenize(text: Column) -> Column:
-        return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), _split_long)
 
-    return tokenize
+def pattern_tokenizer(pattern: str, line_safe: bool = False) -> Tokenizer:
+    return Tokenizer(pattern, line_safe)
 
 
 #: The case-sensitive word tokenizer.
-tokens: Tokenizer = pattern_tokenizer(TOKEN)
+tokens = Tokenizer(TOKEN, line_safe=True)
 
 
-def chunks(text: Column) -> Column:
-    """The text as one chunk, or in lines when it is large; nothing is lost.
+def chunks(text: Column, line_safe: bool = True) -> Column:
+    """The text as one chunk, or in lines when it is large and may be cut; nothing is lost.
 
     A chunk ends before a word character, so neither a token nor the gap between two tokens is cut.
     """
+    if not line_safe:
+        return F.array(text)
     line = F.lit(rf"[^\n]*\n[^{WORD_CHARS}]*|[^\n]+")
     return F.when(F.octet_length(text) <= CHUNK_BYTES, F.array(text)).otherwise(
         F.regexp_extract_all(text, line, F.lit(0))

@@ -59,10 +59,15 @@ def weighted_terms(terms: DataFrame, index: SearchIndex, small: bool) -> DataFra
     if len(parts) > 1:
         same = [c for c in found.columns if c != "df"]
         found = found.groupBy(*same).agg(F.sum("df").alias("df")).where("df > 0")
+    return with_weights(found, index)
+
+
+def with_weights(terms: DataFrame, index: SearchIndex) -> DataFrame:
+    """Replace a term's document count by its idf and the mean length of its field."""
     # One row per field, so its size does not grow with the data.
     stats = F.broadcast(index.field_stats)
     return (
-        found.join(stats, "field")
+        terms.join(stats, "field")
         .withColumn("idf", idf(F.col("n_docs"), F.col("df")))
         .drop("df", "n_docs")
     )

@@ -24,19 +24,22 @@ def token_rows(
     """(project, number, field, n_tokens, term): one row per token; an exact field is one token.
 
     ``texts`` is (project, number, field, text). n_tokens is the token count of the whole text.
-    Large texts are tokenised chunk by chunk, twice, so that their tokens are never held at once.
+    Large texts are tokenised chunk by chunk, twice, so that their tokens are never held at once; an
+    exact field, or a tokenizer that is not line-safe, always sees the whole text.
     """
+    whole_text = F.col("field").isin(*exact)
+    cut = F.when(whole_text, F.array("text")).otherwise(chunks(F.col("text"), tokenizer.line_safe))
 
     def found_in(chunk: Column) -> Column:
         whole = F.when(chunk != "", F.array(chunk)).otherwise(F.array().cast("array<string>"))
-        return F.when(F.col("field").isin(*exact), whole).otherwise(tokenizer(chunk))
+        return F.when(whole_text, whole).otherwise(tokenizer(chunk))
 
     n_chunked = F.when(
         F.size("chunks") != 1,
         F.aggregate("chunks", F.lit(0), lambda n, chunk: n + F.size(found_in(chunk))),
     )
     return (
-        texts.select(*KEY, "field", chunks(F.col("text")).alias("chunks"))
+        texts.select(*KEY, "field", cut.alias("chunks"))
         .select(*KEY, "field", n_chunked.alias("n_chunked"), F.explode("chunks").alias("chunk"))
         .select(*KEY, "field", "n_chunked", found_in(F.col("chunk")).alias("found"))
         .select(
@@ -111,7 +114,7 @@ def field_stats(posting_rows: DataFrame) -> DataFrame:
 def positions(docs: DataFrame, keys: Iterable[str], tokenizer: Tokenizer = tokens) -> DataFrame:
     """(project, number, field, term, pos): token positions counted through the whole text."""
     parts = field_text(docs.repartition(*KEY), keys).select(
-        *KEY, "field", F.posexplode(chunks(F.col("text"))).alias("chunk_no", "chunk")
+        *KEY, "field", F.posexplode(chunks(F.col("text"), tokenizer.line_safe)).alias("chunk_no", "chunk")
     )
     found = parts.select(*KEY, "field", "chunk_no", tokenizer(F.col("chunk")).alias("found"))
     before = (

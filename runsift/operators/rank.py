@@ -13,8 +13,16 @@ def _order():
     return [F.desc("score"), F.asc("project"), F.asc("number")]
 
 
+def _group_limit(scored: DataFrame) -> int:
+    """Up to how many rows per group Spark keeps in each task before it shuffles."""
+    return int(scored.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+
+
 def top_hits(scored: DataFrame, k: int = PAGE_SIZE) -> DataFrame:
-    """Add rank 1..k per query. Spark keeps only k rows per query and task before it shuffles."""
+    """Add rank 1..k per query. Spark keeps only k rows per query and task before it shuffles; where
+    k is over the limit for that, all hits are ranked by ranges instead of one task per query."""
+    if k > _group_limit(scored):
+        return rank_all(scored).where(F.col("rank") <= k)
     by_query = Window.partitionBy("qid").orderBy(*_order())
     return scored.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
 

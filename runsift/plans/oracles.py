@@ -5,7 +5,7 @@ Written from the definition of each operator, apart from the Spark code: no shar
 
 from __future__ import annotations
 
-from runsift.schemas import QUERY_PIECE, SPECIAL_CHARS, TOKEN
+from runsift.schemas import LETTER_JOINS, NUMBER_JOINS, QUERY_PIECE, SPECIAL_CHARS, WORD_CHARS
 from runsift.sources.adapters import SHAPES
 
 
@@ -13,7 +13,28 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_TOK = _quoted(TOKEN)
+# Tokens without looking around: a sign is put behind each mark that joins letters or digits (twice, as two joins may
+# share a letter), a token may hold marks with the sign only, and the sign is taken out again.
+_SIGN = chr(0xE000)
+_JOINED = f"[{WORD_CHARS}]+(?:[{LETTER_JOINS}{NUMBER_JOINS}]{_SIGN}[{WORD_CHARS}]+)*"
+
+
+def _signed(text: str) -> str:
+    for before, joins, after in (
+        (r"[\p{L}\p{M}]", LETTER_JOINS, r"\p{L}"),
+        (r"\p{N}", NUMBER_JOINS, r"\p{N}"),
+    ) * 2:
+        found = _quoted(f"({before})([{joins}])({after})")
+        text = rf"regexp_replace({text}, {found}, '\1\2{_SIGN}\3', 'g')"
+    return text
+
+
+def _parts(text: str, pattern: str = _JOINED) -> str:
+    found = f"regexp_extract_all({_signed(text)}, {_quoted(pattern)})"
+    return f"list_transform({found}, lambda w: replace(w, '{_SIGN}', ''))"
+
+
+_FIRST_WORD = r"regexp_extract(trim(q), '^\S+', 0)"
 _SPECIAL = _quoted(f"[{SPECIAL_CHARS}]")
 
 
@@ -29,11 +50,11 @@ _DOCS = """docs AS (
 
 _TOKS = f"""toks AS (
   SELECT project, number, field, unnest(t) AS term FROM (
-    SELECT project, number, 'j' AS field, regexp_extract_all(j, {_TOK}) AS t FROM docs
+    SELECT project, number, 'j' AS field, {_parts('j')} AS t FROM docs
     UNION ALL SELECT project, number, 'n', [n] FROM docs
-    UNION ALL SELECT project, number, 'd', regexp_extract_all(d, {_TOK}) FROM docs
-    UNION ALL SELECT project, number, 'p', regexp_extract_all(p, {_TOK}) FROM docs
-    UNION ALL SELECT project, number, 'c', regexp_extract_all(c, {_TOK}) FROM docs))"""
+    UNION ALL SELECT project, number, 'd', {_parts('d')} FROM docs
+    UNION ALL SELECT project, number, 'p', {_parts('p')} FROM docs
+    UNION ALL SELECT project, number, 'c', {_parts('c')} FROM docs))"""
 
 _POST = """post AS (
   SELECT project, number, field, term, count(*) AS tf FROM toks GROUP BY ALL),
@@ -57,6 +78,8 @@ def _q(shapes: tuple[str, ...], extra: str = "") -> str:
         text = _quoted(shape)
         for w in ("w3", "w4", "w5"):
             text = f"replace({text}, '{{{w}}}', {w})"
+        for name, value in (("{all}", "line"), ("{any}", "array_to_string(t, ' OR ')")):
+            text = f"replace({text}, '{name}', {value})" if name in shape else text
         return text
 
     union = " UNION ALL ".join(
@@ -64,8 +87,8 @@ def _q(shapes: tuple[str, ...], extra: str = "") -> str:
     )
     return f"""bench AS (
   SELECT item_id, coalesce(t[3], 'none') AS w3, coalesce(t[4], 'none') AS w4,
-         coalesce(t[5], 'none') AS w5
-  FROM (SELECT item_id, regexp_extract_all(text, {_TOK}) AS t FROM benchmark)),
+         coalesce(t[5], 'none') AS w5, t, replace(replace(text, chr(10), ' '), '"', '') AS line
+  FROM (SELECT item_id, text, {_parts('text')} AS t FROM benchmark)),
 q AS ({union}{extra})"""
 
 
@@ -108,7 +131,7 @@ cw AS (
          coalesce(p1 = 'NOT', false) OR coalesce(regexp_matches(f, '^[\-!]'), false) AS neg,
          CASE WHEN p1 = 'NOT' THEN p2 ELSE p1 END AS conj,
          CASE WHEN f IS NOT NULL THEN regexp_replace(left(f, len(f) - 1), '^[+\-!]', '') END AS field,
-         regexp_extract_all(w, {_TOK}) AS terms
+         {_parts('w')} AS terms
   FROM wl WHERE op IS NULL),
 cn AS (
   SELECT *, row_number() OVER v - 1 AS clause_no, lead(conj) OVER v AS next_conj
@@ -120,11 +143,11 @@ cl AS (
   FROM cn JOIN valid v ON v.qid = cn.qid AND v.kind = cn.kind AND v.ok)"""
 
 _MODE = rf"""jobword AS (
-  SELECT q.qid, regexp_extract_all(regexp_extract(trim(q), '^\S+', 0), {_TOK}) AS jt
+  SELECT q.qid, {_parts(_FIRST_WORD)} AS jt
   FROM q JOIN valid f ON f.qid = q.qid AND f.kind = 'f' AND f.ok
          JOIN valid r ON r.qid = q.qid AND r.kind = 'r' AND r.ok
   WHERE regexp_extract(trim(q), '^\S+', 0) NOT IN ('AND', 'OR', 'NOT')),
-jobtok AS (SELECT DISTINCT source AS project, unnest(regexp_extract_all(source, {_TOK})) AS term
+jobtok AS (SELECT DISTINCT source AS project, unnest({_parts('source')}) AS term
            FROM documents),
 jm AS (
   SELECT DISTINCT w.qid FROM
@@ -190,7 +213,7 @@ _JOBS = """jobs AS (
 def _paged(name: str) -> str:
     return f"""paged AS (
   SELECT r.*, CAST(ceil(rank / 100.0) AS BIGINT) AS page, {name} AS search_name
-  FROM ranked r WHERE rank <= 300),
+  FROM ranked r),
 kept AS (
   SELECT * FROM paged
   QUALIFY row_number() OVER (PARTITION BY qid, page, search_name ORDER BY rank DESC) = 1)"""
@@ -207,7 +230,7 @@ marks AS (SELECT qid, list_distinct(flatten(list(terms))) AS terms FROM force
 cut AS (
   SELECT project, number, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS piece
   FROM (SELECT project, number,
-               regexp_extract_all(c, {_quoted(TOKEN + "|[^" + TOKEN[1:TOKEN.index("]")] + "]+")}) AS x
+               {_parts('c', _JOINED + '|[^' + WORD_CHARS + ']+')} AS x
         FROM docs WHERE (project, number) IN (SELECT (project, number) FROM hits))),
 placed AS (
   SELECT *, sum(length(piece)) OVER (PARTITION BY project, number ORDER BY i) // 100 AS frag
@@ -286,7 +309,7 @@ ORACLES: dict[str, str] = {
     "extract_fields": _with(_DOCS) + "SELECT project, number, j, n, d, p, md5(c) AS c_md5 FROM docs",
     "parameter_text": """SELECT doc_id AS number,
         CASE WHEN doc_id % 5 <> 0 THEN lang || ' null ' || n_chars || ' ' END AS p FROM documents""",
-    "tokenize": _digests(f"regexp_extract_all(text, {_TOK})"),
+    "tokenize": _digests(f"{_parts('text')}"),
     "tokenize_custom": _digests(
         r"""flatten(list_transform(regexp_extract_all(text, '[^\s,.]+'),
             lambda x: regexp_extract_all(x, '(?s).{1,255}')))"""
@@ -297,7 +320,7 @@ ORACLES: dict[str, str] = {
     "stopword_filter": _with(_DOCS, _TOKS)
     + f"""SELECT project, number, count(*) AS n_left, count(DISTINCT term) AS n_distinct FROM toks
       WHERE field = 'c' AND term NOT IN (
-        SELECT unnest(regexp_extract_all(text, {_TOK})) FROM benchmark)
+        SELECT unnest({_parts('text')}) FROM benchmark)
       GROUP BY project, number""",
     "postings": _with(_DOCS, _TOKS, _POST)
     + """SELECT project, number, field, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens,
@@ -307,8 +330,7 @@ ORACLES: dict[str, str] = {
     "positions": _with(_DOCS)
     + f"""SELECT field, term, count(*) AS n, CAST(sum(pos) AS BIGINT) AS sum_pos, max(pos) AS max_pos
       FROM (SELECT field, unnest(t) AS term, unnest(range(len(t))) AS pos FROM (
-        SELECT f.field, regexp_extract_all(CASE f.field WHEN 'j' THEN j WHEN 'd' THEN d
-            WHEN 'p' THEN p ELSE c END, {_TOK}) AS t
+        SELECT f.field, {_parts("CASE f.field WHEN 'j' THEN j WHEN 'd' THEN d WHEN 'p' THEN p ELSE c END")} AS t
         FROM docs, (VALUES ('j'), ('d'), ('p'), ('c')) f(field)))
       GROUP BY field, term""",
     "term_stats": _with(_DOCS, _TOKS, _POST) + "SELECT field, term, df FROM tstat",
@@ -318,14 +340,23 @@ ORACLES: dict[str, str] = {
     + "SELECT project, number, field, CAST(dl AS BIGINT) AS dl FROM dlen",
     "index_update": _search(_RANKED)
     + "SELECT qid, project, number, score, rank FROM ranked WHERE rank <= 100",
+    "update_with_stop_words": _with(_DOCS, _TOKS)
+    + f"""SELECT field, term, count(DISTINCT (project, number)) AS df FROM toks
+      WHERE term NOT IN (SELECT unnest({_parts('text')}) FROM benchmark) GROUP BY field, term""",
+    "update_with_pieces": _with(_TESTS)
+    + f"""SELECT 'unittest' AS field, term, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens,
+        count(*) AS df FROM (
+        SELECT number, term, count(*) AS tf FROM (
+          SELECT number, unnest({_parts('u')}) AS term FROM texts WHERE number % 3 <> 0)
+        GROUP BY number, term) GROUP BY term""",
     "index_pieces": _with(_TESTS)
     + f"""SELECT project, number, field, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens,
         CAST(sum(tf) AS BIGINT) AS dl FROM (
         SELECT project, number, field, term, count(*) AS tf FROM (
-          SELECT project, number, 'unittest' AS field, unnest(regexp_extract_all(u, {_TOK})) AS term
+          SELECT project, number, 'unittest' AS field, unnest({_parts('u')}) AS term
           FROM texts
           UNION ALL
-          SELECT project, number, 'artifact', unnest(regexp_extract_all(a, {_TOK})) FROM texts)
+          SELECT project, number, 'artifact', unnest({_parts('a')}) FROM texts)
         GROUP BY ALL) GROUP BY project, number, field""",
     "query_pieces": _with(_q(SHAPES), _CLAUSES)
     + "SELECT qid, i - 1 AS i, coalesce(f, '') AS field, t AS text FROM pc WHERE kind = 'f'",
@@ -347,6 +378,7 @@ ORACLES: dict[str, str] = {
         AS show_console FROM mode m LEFT JOIN force f ON f.qid = m.qid GROUP BY m.qid""",
     "match_term": _matches("{w3}"),
     "match_all": _matches("{w3} {w4} {w5}", "{w3} AND {w5}"),
+    "match_whole_items": _matches("{all}", "{any}"),
     "match_any": _matches("{w3} OR {w4} OR {w5}", "{w3} AND {w4} OR {w5}"),
     "match_not": _matches("{w3} NOT {w4}", "NOT {w3}", "-c:{w3} {w4}", "{w3} OR NOT {w5}"),
     "match_field": _matches("c:{w3} j:src1", "p:fr c:{w4}", "n:7", "d:12", "+c:{w3} !p:en"),
@@ -474,28 +506,30 @@ ORACLES: dict[str, str] = {
     + f"""SELECT field, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens,
         CAST(0 AS BIGINT) AS artifact_stored FROM (
         SELECT field, number, term, count(*) AS tf FROM (
-          SELECT 'unittest' AS field, number, unnest(regexp_extract_all(u, {_TOK})) AS term FROM texts
-          UNION ALL SELECT 'artifact', number, unnest(regexp_extract_all(a, {_TOK})) FROM texts)
+          SELECT 'unittest' AS field, number, unnest({_parts('u')}) AS term FROM texts
+          UNION ALL SELECT 'artifact', number, unnest({_parts('a')}) FROM texts)
         GROUP BY ALL) GROUP BY field""",
     "artifact_patterns": r"""SELECT page_id, path FROM (
         SELECT page_id, regexp_replace(url, '^https?://', '') AS path FROM pages)
       WHERE (regexp_matches(path, '^([^/]+/)*en/[^/]*$') OR regexp_matches(path, '^[^/]*\.example\.org(/.*)?$'))
         AND NOT (regexp_matches(path, '^th[^/]*(/.*)?$') OR regexp_matches(path, '^([^/]+/)*[^/]5$'))""",
-    "phrase_match": _with(_DOCS, _TOKS, _q(("{w3} {w4} {w5}", "{w3} {w4}")))
+    "phrase_match": _with(_DOCS, _TOKS, _q(("{w3} {w4} {w5}", "{w3} {w4}", "{all}")))
     + """SELECT DISTINCT qid, project, number
       FROM (SELECT project, number, field, string_agg(term, ' ' ORDER BY ord) AS line FROM (
               SELECT project, number, field, unnest(range(len(t))) AS ord, unnest(t) AS term FROM (
-                SELECT project, number, f AS field, regexp_extract_all(x, """
-    + _TOK
-    + """) AS t FROM (SELECT project, number, unnest(['j', 'd', 'p', 'c']) AS f,
+                SELECT project, number, f AS field, """
+    + _parts("x")
+    + """ AS t FROM (SELECT project, number, unnest(['j', 'd', 'p', 'c']) AS f,
                          unnest([j, d, p, c]) AS x FROM docs)))
             GROUP BY project, number, field), q
-      WHERE contains(' ' || line || ' ', ' ' || q || ' ')""",
+      WHERE contains(' ' || line || ' ', ' ' || array_to_string("""
+    + _parts("q")
+    + """, ' ') || ' ')""",
     "wildcard_match": _with(_DOCS, _TOKS, _POST, _q(_WILD_SHAPES))
     + """, pat AS (
         SELECT qid, CASE qid % 100 WHEN 0 THEN left(q, 3) || '%' WHEN 1 THEN '%' || right(q, 3)
           WHEN 2 THEN '%' || substr(q, 2, 3) || '%' ELSE '_' || substr(q, 2) END AS pattern
-        FROM q WHERE length(q) >= 3),
+        FROM q),
       exp AS (SELECT qid, term, df FROM pat JOIN tstat ON term LIKE pattern WHERE field = 'c')
       SELECT qid, p.project, p.number, round(sum(ln(1 + (f.n_docs - e.df + 0.5) / (e.df + 0.5))
           * p.tf / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / f.avg_len))), 4) AS score
@@ -506,6 +540,7 @@ ORACLES: dict[str, str] = {
       WHERE doc_id <= 90 OR doc_id BETWEEN 150 AND 4000""",
     "events_latest_state": _LATEST,
     "stream_replay": _LATEST,
+    "feed_with_extension": f"SELECT project, number, seq, 'case ' || p || c AS unittest FROM ({_LATEST})",
     "events_job_deleted": _with(_EVENTS) + "SELECT project, deleted_seq FROM gone",
     "events_compacted": _with(_EVENTS)
     + """SELECT project, number, seq, op FROM lastop

@@ -173,6 +173,34 @@ def index_update(spark, sf):
     ).select("qid", *KEY, "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+def _unittest_registry() -> FieldRegistry:
+    registry = FieldRegistry()
+    registry.register_text_field("unittest", lambda runs: runs, persist=True)
+    return registry
+
+
+def update_with_stop_words(spark, sf):
+    """An index with stop words, built on outdated documents and updated: its statistics leave them out."""
+    stop = A.table(spark, sf, "benchmark").select(F.explode(X.tokens(F.col("text"))).alias("term"))
+    old, now = _old_documents(spark, sf), documents(spark, sf)
+    stale = SearchIndex.build(old, scratch_path(spark, "stale"), stop_words=stop)
+    return stale.update(old, now, scratch_path(spark, "update")).term_stats.select("field", "term", "df")
+
+
+def update_with_pieces(spark, sf):
+    """Text that comes in many rows stays with its runs when their documents are replaced."""
+    tests = A.failed_tests(spark, sf)
+    text = F.concat(F.col("title"), F.lit("\n"), F.col("error_details"))
+    pieces = tests.select(*KEY, F.lit("unittest").alias("field"), text.alias("text"))
+    old, now = _old_documents(spark, sf), documents(spark, sf)
+    pieces = pieces.join(old.select(*KEY), KEY, "left_semi")
+    stale = SearchIndex.build(old, scratch_path(spark, "stale"), _unittest_registry(), pieces=pieces)
+    updated = stale.update(old, now, scratch_path(spark, "update"))
+    found = updated.postings.where("field = 'unittest'").groupBy("field", "term")
+    counted = found.agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
+    return counted.join(updated.term_stats.drop("tp"), ["field", "term"])
+
+
 def index_pieces(spark, sf):
     """Extension text indexed from its pieces, without joining them into one string first."""
     def piece(rows, field, first, second):
@@ -280,7 +308,7 @@ def _repeated_names(spark, sf):
 
 
 def page_dedupe(spark, sf):
-    found = Searcher(index(spark, sf), _repeated_names(spark, sf)).pages(A.queries(spark, sf, PAGED), 3)
+    found = Searcher(index(spark, sf), _repeated_names(spark, sf)).pages(A.queries(spark, sf, PAGED), None)
     return found.select(
         "qid", F.col("page").cast("bigint").alias("page"), "search_name", *KEY,
         F.col("rank").cast("bigint").alias("rank"),
@@ -288,14 +316,14 @@ def page_dedupe(spark, sf):
 
 
 def page_order(spark, sf):
-    return searcher(spark, sf).pages(A.queries(spark, sf, PAGED), 3).select(
+    return searcher(spark, sf).pages(A.queries(spark, sf, PAGED), None).select(
         "qid", F.col("page").cast("bigint").alias("page"),
         F.col("pos_in_page").cast("bigint").alias("pos_in_page"), "search_name",
     )
 
 
 def page_labels(spark, sf):
-    paged = R.with_page(R.top_hits(searcher(spark, sf).scored(A.queries(spark, sf, PAGED)), 300))
+    paged = R.with_page(R.rank_all(searcher(spark, sf).scored(A.queries(spark, sf, PAGED))))
     return results.page_sizes(paged).select(
         "qid", F.col("page").cast("bigint").alias("page"), "n_hits", "label"
     )
@@ -549,8 +577,9 @@ def artifact_patterns(spark, sf):
 
 
 def phrase_match(spark, sf):
-    """Three successive words of each benchmark item as a phrase."""
-    phrases = A.queries(spark, sf, ("{w3} {w4} {w5}", "{w3} {w4}")).withColumnRenamed("q", "phrase")
+    """Successive words of each benchmark item, and each whole item, as a phrase."""
+    shapes = ("{w3} {w4} {w5}", "{w3} {w4}", "{all}")
+    phrases = A.queries(spark, sf, shapes).withColumnRenamed("q", "phrase")
     return predicates.phrase_match(
         documents(spark, sf), phrases, ["j", "d", "p", "c"], index=index(spark, sf)
     )
@@ -558,7 +587,7 @@ def phrase_match(spark, sf):
 
 def wildcard_match(spark, sf):
     """Patterns cut from benchmark words: beginning, end, middle and one free character."""
-    words = A.queries(spark, sf, ("{w3}", "{w4}", "{w5}", "{w4}")).where("length(q) >= 3")
+    words = A.queries(spark, sf, ("{w3}", "{w4}", "{w5}", "{w4}"))
     kind = F.col("qid") % 100
     pattern = (
         F.when(kind == 0, F.concat(F.substr("q", F.lit(1), F.lit(3)), F.lit("*")))
@@ -615,6 +644,22 @@ def stream_replay(spark, sf):
     return _documents_of(log.current(base))
 
 
+def feed_with_extension(spark, sf):
+    """Events that carry an extension's text, streamed twice into one log under two checkpoints."""
+    root, registry = scratch_path(spark, "feed"), _unittest_registry()
+    parts = A.run_events(spark, sf).withColumn("unittest", F.concat(F.lit("case "), "p", "c"))
+    log = ChangeLog(spark, f"{root}/log", registry)
+    for at in range(2):
+        parts.where(F.pmod(F.xxhash64("seq"), F.lit(2)) == at).write.parquet(f"{root}/in{at}")
+        feed = log.start(
+            event_stream(spark, f"{root}/in{at}", registry=registry),
+            f"{root}/checkpoint{at}",
+            lambda writer: writer.trigger(availableNow=True),
+        )
+        feed.awaitTermination()
+    return log.current().select(*KEY, "seq", "unittest")
+
+
 QUERIES: dict[str, Query] = {
     "extract_fields": extract_fields,
     "parameter_text": parameter_text,
@@ -628,6 +673,8 @@ QUERIES: dict[str, Query] = {
     "field_stats": field_stats,
     "doc_lengths": doc_lengths,
     "index_update": index_update,
+    "update_with_stop_words": update_with_stop_words,
+    "update_with_pieces": update_with_pieces,
     "index_pieces": index_pieces,
     "query_pieces": query_pieces,
     "query_escape": query_escape,
@@ -638,6 +685,7 @@ QUERIES: dict[str, Query] = {
     "match_term": _matches("{w3}"),
     "match_all": _matches("{w3} {w4} {w5}", "{w3} AND {w5}"),
     "match_any": _matches("{w3} OR {w4} OR {w5}", "{w3} AND {w4} OR {w5}"),
+    "match_whole_items": _matches("{all}", "{any}"),
     "match_not": _matches("{w3} NOT {w4}", "NOT {w3}", "-c:{w3} {w4}", "{w3} OR NOT {w5}"),
     "match_field": _matches("c:{w3} j:src1", "p:fr c:{w4}", "n:7", "d:12", "+c:{w3} !p:en"),
     "match_unknown_field": _matches("zz:{w3} {w4}", "zz:{w3} OR {w4}", "NOT zz:{w3} {w4}"),
@@ -688,4 +736,5 @@ QUERIES: dict[str, Query] = {
     "events_job_deleted": events_job_deleted,
     "events_compacted": events_compacted,
     "stream_replay": stream_replay,
+    "feed_with_extension": feed_with_extension,
 }

@@ -71,12 +71,13 @@ class Searcher:
         named = results.with_names(rank.with_page(ranked), self.docs, few, self.doc_parts)
         return results.order_page(results.dedupe_page(named))
 
-    def fragments(self, queries: DataFrame, job_mode: bool = True) -> DataFrame:
-        """(qid, project, number, fragments) of the first page's hits."""
+    def fragments(self, queries: DataFrame, job_mode: bool = True, page: int = 1) -> DataFrame:
+        """(qid, project, number, fragments) of one page's hits."""
         size = QuerySize.of(queries)
         small = self._terms_small(size)
         analysed = self._analyse(queries, job_mode, small)
-        hits = written(rank.top_hits(self._score(analysed, small)).select("qid", *KEY), "hits")
+        ranked = rank.top_hits(self._score(analysed, small), page * PAGE_SIZE)
+        hits = written(ranked.where(F.col("rank") > (page - 1) * PAGE_SIZE).select("qid", *KEY), "hits")
         terms = highlight.highlight_terms(analysed)
         return highlight.best_fragments(
             hits, self.docs, terms, small and self._hits_small(size, 1), self.doc_parts
@@ -112,10 +113,12 @@ class Searcher:
         )
         if visible is not None and not filter_first:
             located = results.visible_hits(located, visible)
+        # Consoles are cut only for hits that are shown.
+        located = written(located, "located")
         flags = analysed.select("qid", "show_console")
         flags = F.broadcast(flags) if small else flags
         fragments = highlight.best_fragments(
-            hits.join(flags, "qid").where("show_console"),
+            located.select("qid", *KEY).join(flags, "qid").where("show_console"),
             self.docs,
             highlight.highlight_terms(analysed),
             few,

@@ -16,9 +16,14 @@ SCORE_DECIMALS = 4
 QUERY_PIECE = r'(\S+:)?([^"]\S*|".+?")\s*'
 # Characters with a meaning in the query language; they are neutralised in the text part of a piece.
 SPECIAL_CHARS = r'\\+\-!():^\[\]"{}~*?|&/'
-# A token: letters, marks, numbers and underscore, joined inside by ' . or ’
+# A token: letters, marks, numbers and underscore. Some marks join two letters, others two digits.
 WORD_CHARS = r"\p{L}\p{M}\p{N}_"
-TOKEN = rf"[{WORD_CHARS}]+(?:['.’][{WORD_CHARS}]+)*"
+LETTER_JOINS = ".'’:·"
+NUMBER_JOINS = ".,;'’"
+TOKEN = (
+    rf"[{WORD_CHARS}]+(?:(?:(?<=[\p{{L}}\p{{M}}])[{LETTER_JOINS}](?=\p{{L}})"
+    rf"|(?<=\p{{N}})[{NUMBER_JOINS}](?=\p{{N}}))[{WORD_CHARS}]+)*"
+)
 
 KEY = ["project", "number"]
 

@@ -70,15 +70,22 @@ SHAPES = (
 
 
 def queries(spark: SparkSession, sf_dir: str, shapes: tuple[str, ...] = SHAPES) -> DataFrame:
-    """(qid, q): every shape for every benchmark item."""
+    """(qid, q): every shape for every benchmark item.
+
+    {w3}, {w4} and {w5} are single tokens of the item, {all} is its whole text on one line and {any}
+    all its tokens with OR between them.
+    """
     found = table(spark, sf_dir, "benchmark").select(
-        "item_id", F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("t")
+        "item_id", "text", F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0)).alias("t")
     )
 
     def fill(shape: str):
         text = F.lit(shape)
         for name, at in (("{w3}", 2), ("{w4}", 3), ("{w5}", 4)):
             text = F.replace(text, F.lit(name), F.coalesce(F.get("t", F.lit(at)), F.lit("none")))
+        whole = {"{all}": F.translate("text", "\n\"", " "), "{any}": F.array_join("t", " OR ")}
+        for name, value in whole.items():
+            text = F.replace(text, F.lit(name), value) if name in shape else text
         return text
 
     shaped = F.array(*[fill(s) for s in shapes])

@@ -7,7 +7,7 @@ words, and bucketed by document, so everything computed per document needs no sh
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,7 @@ from runsift.fields import FieldRegistry
 from runsift.functions.text import Tokenizer, tokens
 from runsift.operators import postings as P
 from runsift.schemas import KEY
-from runsift.session import broadcast_if_small, source_bytes
+from runsift.session import broadcast_if_small, source_bytes, written
 
 
 # Stored input bytes per document bucket.
@@ -46,6 +46,8 @@ class SearchIndex:
     exact_keys: tuple[str, ...]
     tokenizer: Tokenizer = tokens
     base: SearchIndex | None = None
+    piece_keys: tuple[str, ...] = ()
+    has_stop_words: bool = False
 
     @classmethod
     def build(
@@ -76,8 +78,13 @@ class SearchIndex:
             tuple(k for k in registry.all_keys if k in docs.columns),
             tuple(sorted(registry.exact_keys)),
             tokenizer,
+            None,
+            () if pieces is None else tuple(k for k in registry.all_keys if k not in docs.columns),
+            stop_words is not None,
         )
-        rows = index._postings_of(docs, stop_words)
+        if stop_words is not None:
+            stop_words.select("term").distinct().write.parquet(f"{path}/stop_words")
+        rows = index._postings_of(docs)
         if pieces is not None:
             extra = P.piece_postings(pieces, index.exact_keys, tokenizer)
             rows = rows.unionByName(extra.repartition(doc_buckets, *KEY))
@@ -87,39 +94,55 @@ class SearchIndex:
         index._store_facts()
         return index
 
-    def update(self, old: DataFrame, new: DataFrame, path: str) -> SearchIndex:
+    def update(
+        self, old: DataFrame, new: DataFrame, path: str, pieces: DataFrame | None = None
+    ) -> SearchIndex:
         """An index on top of this one in which the documents ``old`` are replaced by ``new``.
 
         ``old`` are the stored documents that changed or were deleted, as they were indexed. Only
-        changed documents are tokenised; nothing of this index is rewritten.
+        changed documents are tokenised; nothing of this index is rewritten. ``pieces`` is the text
+        that comes in many rows, for the runs in ``new``; without it those runs keep what they have.
+        The index's stop words and tokenizer hold for updates too.
         """
-        updated = SearchIndex(
-            self.spark, path, self.term_parts, self.doc_buckets, self.default_keys,
-            self.all_keys, self.exact_keys, self.tokenizer, self,
-        )
-        updated._store_postings(updated._postings_of(new))
-        old.select(*KEY).distinct().write.parquet(f"{path}/removed")
+        updated = self._like(path, self)
+        old_keys = written(old.select(*KEY).distinct(), "old-keys")
+        rows, gone = updated._postings_of(new), self._postings_of(old)
+        if self.piece_keys:
+            stored = self.postings.where(F.col("field").isin(*self.piece_keys)).drop("tp")
+            stored = stored.join(old_keys, KEY, "left_semi")
+            gone = gone.unionByName(stored)
+            if pieces is None:
+                kept = stored.join(new.select(*KEY).distinct(), KEY, "left_semi")
+            else:
+                kept = P.piece_postings(pieces, self.exact_keys, self.tokenizer)
+            rows = rows.unionByName(kept).repartition(self.doc_buckets, *KEY)
+        updated._store_postings(rows)
+        old_keys.write.parquet(f"{path}/removed")
         jobs = self._job_counts(new).unionByName(
             self._job_counts(old).withColumn("n_docs", -F.col("n_docs"))
         )
-        updated._store_counts(updated._own_postings, self._postings_of(old), jobs)
+        updated._store_counts(updated._own_postings, gone, jobs)
         updated._store_facts()
         return updated
 
     def compact(self, path: str) -> SearchIndex:
         """One plain index with the content of this one and its bases; nothing is tokenised."""
-        whole = SearchIndex(
-            self.spark, path, self.term_parts, self.doc_buckets, self.default_keys,
-            self.all_keys, self.exact_keys, self.tokenizer,
-        )
+        whole = self._like(path, None)
+        if self.has_stop_words:
+            self._stop_words().write.parquet(f"{path}/stop_words")
         rows = self.postings.drop("tp")
         whole._store_postings(rows.repartition(self.doc_buckets, *KEY))
         whole._store_counts(whole._own_postings, None, self._job_rows())
         whole._store_facts()
         return whole
 
+    def _like(self, path: str, base: SearchIndex | None) -> SearchIndex:
+        """An index elsewhere with the settings of this one."""
+        return replace(self, path=path, base=base)
+
     @classmethod
-    def open(cls, spark: SparkSession, path: str, tokenizer: Tokenizer = tokens) -> SearchIndex:
+    def open(cls, spark: SparkSession, path: str) -> SearchIndex:
+        """A stored index, with the tokenizer it was built with."""
         facts = spark.read.parquet(f"{path}/facts").first()
         index = cls(
             spark,
@@ -129,8 +152,10 @@ class SearchIndex:
             tuple(facts.default_keys),
             tuple(facts.all_keys),
             tuple(facts.exact_keys),
-            tokenizer,
-            cls.open(spark, facts.base, tokenizer) if facts.base else None,
+            Tokenizer(facts.token_pattern, facts.line_safe),
+            cls.open(spark, facts.base) if facts.base else None,
+            tuple(facts.piece_keys),
+            facts.has_stop_words,
         )
         if not spark.catalog.tableExists(index._table):
             spark.sql(
@@ -225,9 +250,15 @@ class SearchIndex:
             "project", F.array_distinct(self.tokenizer(F.col("project"))).alias("terms"), "n_docs"
         )
 
-    def _postings_of(self, docs: DataFrame, stop_words: DataFrame | None = None) -> DataFrame:
+    def _stop_words(self) -> DataFrame | None:
+        """(term), as stored with the first index of this line."""
+        if not self.has_stop_words:
+            return None
+        return self.base._stop_words() if self.base else self._read("stop_words", "term string")
+
+    def _postings_of(self, docs: DataFrame) -> DataFrame:
         return P.postings(
-            docs, self.all_keys, self.exact_keys, self.tokenizer, stop_words, self.doc_buckets
+            docs, self.all_keys, self.exact_keys, self.tokenizer, self._stop_words(), self.doc_buckets
         )
 
     def _store_postings(self, rows: DataFrame) -> None:
@@ -278,5 +309,9 @@ class SearchIndex:
             listed(self.default_keys).alias("default_keys"),
             listed(self.all_keys).alias("all_keys"),
             listed(self.exact_keys).alias("exact_keys"),
+            listed(self.piece_keys).alias("piece_keys"),
+            F.lit(self.has_stop_words).alias("has_stop_words"),
+            F.lit(self.tokenizer.pattern).alias("token_pattern"),
+            F.lit(self.tokenizer.line_safe).alias("line_safe"),
             F.lit(self.base.path if self.base else None).cast("string").alias("base"),
         ).write.parquet(f"{self.path}/facts")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from runsift.fields import FieldRegistry
@@ -23,6 +24,12 @@ from runsift.session import broadcast_if_small
 PUT_OPS = ("completed", "changed")
 
 
+def event_schema(registry: FieldRegistry | None = None) -> T.StructType:
+    """Columns of run events: the built-in fields and the registered extensions' texts."""
+    extensions = registry.extensions if registry else []
+    return T.StructType([*RUN_EVENTS.fields, *[T.StructField(f.key, T.StringType()) for f in extensions]])
+
+
 def last_changes(events: DataFrame) -> DataFrame:
     """(project, number, seq, op): the last change of each run.
 
@@ -145,11 +152,14 @@ def changed_documents(
 class ChangeLog:
     """Stored change feed: the batches since the last compaction, as plain Parquet folders.
 
-    A batch is written under its own number, so a batch replayed after a failure replaces itself.
+    A batch is written under its stream and its own number, so a batch replayed after a failure
+    replaces itself and nothing else. A stream is known by the id that its checkpoint keeps; a new
+    checkpoint is a new stream. ``registry`` names the extension texts that events carry.
     """
 
     spark: SparkSession
     root: str
+    registry: FieldRegistry | None = None
 
     def start(
         self,
@@ -158,14 +168,21 @@ class ChangeLog:
         configure: Callable[[object], object] = lambda writer: writer,
     ) -> StreamingQuery:
         """Run the feed; each micro-batch is committed on its own."""
-        writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.append)
+
+        def store(batch: DataFrame, batch_id: int) -> None:
+            context = batch.sparkSession.sparkContext
+            self.append(batch, batch_id, context.getLocalProperty("sql.streaming.queryId"))
+
+        writer = source.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
         return configure(writer).start()
 
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+    def append(self, batch: DataFrame, batch_id: int, stream: str = "manual") -> None:
+        """Store one batch; the same stream and number again replaces it."""
+        batch.write.mode("overwrite").parquet(f"{self.root}/changes/stream={stream}/batch={batch_id}")
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(RUN_EVENTS).parquet(f"{self.root}/changes").drop("batch")
+        stored = self.spark.read.schema(event_schema(self.registry)).parquet(f"{self.root}/changes")
+        return stored.drop("stream", "batch")
 
     def feed(self, base: DataFrame | None = None) -> DataFrame:
         return compacted(self.events()) if base is None else merge(base, self.events())
@@ -184,9 +201,11 @@ class ChangeLog:
         return self.spark.read.schema(feed.schema).parquet(target)
 
 
-def event_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Run events arriving as Parquet files."""
-    reader = spark.readStream.schema(RUN_EVENTS)
+def event_stream(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, registry: FieldRegistry | None = None
+) -> DataFrame:
+    """Run events arriving as Parquet files, with the texts of the registered extensions."""
+    reader = spark.readStream.schema(event_schema(registry))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)

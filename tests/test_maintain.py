@@ -214,3 +214,20 @@ def test_index_follows_the_feed(spark, sf):
     assert rows(updated.postings.select(columns)) == rows(rebuilt.postings.select(columns))
     assert rows(updated.term_stats) == rows(rebuilt.term_stats)
     assert rows(updated.field_stats) == rows(rebuilt.field_stats)
+
+
+def test_streams_and_manual_batches_share_a_log(spark):
+    """A second checkpoint, or a batch stored by hand under the same number, replaces nothing."""
+    root = scratch_path(spark, "log")
+    log = ChangeLog(spark, root)
+    schema = "seq long, op string, project string, number long, c string"
+    for at in range(2):
+        rows = spark.createDataFrame([(at, "completed", "p", at, f"text {at}")], schema)
+        rows.write.parquet(f"{root}/in{at}")
+        feed = log.start(
+            event_stream(spark, f"{root}/in{at}"), f"{root}/checkpoint{at}",
+            lambda writer: writer.trigger(availableNow=True),
+        )
+        feed.awaitTermination()
+    log.append(spark.createDataFrame([(9, "completed", "p", 9, "by hand")], schema), 0)
+    assert {r.c for r in log.current().collect()} == {"text 0", "text 1", "by hand"}

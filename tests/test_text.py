@@ -3,6 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from runsift.functions import text as X
+from runsift.operators import postings as P
 from runsift.operators import predicates
 
 
@@ -13,11 +14,37 @@ def one(spark, value, expr):
 def test_tokenizer_vectors(spark):
     got = one(spark, "can't 3.14 a.b foo_bar folder/job #12 a:b wi-fi 日本 Echo echo", X.tokens)
     assert got == [
-        "can't", "3.14", "a.b", "foo_bar", "folder", "job", "12", "a", "b", "wi", "fi", "日本",
+        "can't", "3.14", "a.b", "foo_bar", "folder", "job", "12", "a:b", "wi", "fi", "日本",
         "Echo", "echo",
     ]
 
 
+def test_log_tokens(spark):
+    """Some marks join letters, others digits; none joins a letter and a digit."""
+    text = "build1.log Test2.java foo:bar 1,000 1;2 3.14 10:30 a,b a1.b2 x.y.z 1.2.3 a. .b can’t v1.2 _a._b"
+    assert one(spark, text, X.tokens) == [
+        "build1", "log", "Test2", "java", "foo:bar", "1,000", "1;2", "3.14", "10", "30", "a", "b", "a1", "b2",
+        "x.y.z", "1.2.3", "a", "b", "can’t", "v1.2", "_a", "_b",
+    ]
+
+
+def test_large_texts_give_the_same_tokens(spark):
+    """Only line-safe tokenizers see lines; others, and exact fields, see the whole text at any size."""
+    schema = "project string, number bigint, field string, text string"
+
+    def counted(n, tokenizer, exact=()):
+        rows = spark.createDataFrame([("p", 1, "c", "a\nb," * n)], schema)
+        found = P.token_rows(rows, exact, tokenizer).groupBy("term").count().collect()
+        return {r.term: r["count"] for r in found}
+
+    small, large = 1000, 300_000
+    assert large * 4 > X.CHUNK_BYTES
+    commas = X.pattern_tokenizer("[^,]+")
+    assert counted(small, commas) == {"a\nb": small} and counted(large, commas) == {"a\nb": large}
+    assert counted(large, X.tokens) == {"a": large, "b": large}
+    assert len(counted(large, X.tokens, ("c",))) == 1
+
+
 def test_long_tokens_are_cut(spark):
     got = one(spark, "x" * 600 + " y", X.tokens)
     assert [len(t) for t in got] == [255, 255, 90, 1]
@@ -91,7 +118,7 @@ def test_wildcard_regex(spark):
         ("li*x*", "linux", True), ("*in*", "linux", True), ("lin", "linux", False),
     ]
     rows = spark.createDataFrame(cases, "pattern string, term string, fits boolean")
-    vocabulary = rows.select(F.lit(0).alias("tp"), F.lit("c").alias("field"), "term").distinct()
+    vocabulary = rows.select(F.lit(0).alias("tp"), F.lit("c").alias("field"), "term", F.lit(1).alias("df")).distinct()
     patterns = rows.withColumn("qid", F.monotonically_increasing_id()).withColumn("field", F.lit("c"))
     found = predicates.wildcard_terms(vocabulary, patterns.select("qid", "field", "pattern"))
     got = {(r.qid, r.term) for r in found.collect()}
