@@ -44,6 +44,11 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def batch_rows(spark: SparkSession, rows: int) -> None:
+    """Rows per Arrow batch from now on in this session: rows are whole texts, so a batch must not hold many."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def written_small(df: DataFrame, label: str, row_bytes: int = 64) -> DataFrame:
     """Write a narrow table once; broadcast what was written if its counted rows fit, else leave the join to shuffle."""
     kept = written(df, label)

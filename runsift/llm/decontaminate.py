@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import free_names, text_or_empty, written_small
+from runsift.llm.common import batch_rows, free_names, text_or_empty, written_small
 from runsift.session import written
 
 K1, B = 1.2, 0.75
@@ -43,6 +43,8 @@ THRESHOLD = 0.6
 FULL, PART = 0.8, 0.5
 GRAM = 5
 BLOCK_ITEMS = 16
+# Texts in an Arrow batch, and texts searched at once.
+BATCH_ROWS, SEARCHED_ROWS = 1000, 500
 MAX_ITEM_BYTES = 32 * 1024 * 1024
 WORD = re.compile(r"\w+")
 FINDINGS = "doc_id long, tie long, item_id long, score double, question_overlap double, answer_overlap double, word_at long"
@@ -229,6 +231,7 @@ def findings(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, ma
 
     `docs` has doc_id and text, `items` item_id and text; tie is a hash of the document's text.
     """
+    batch_rows(docs.sparkSession, BATCH_ROWS)
     text = text_or_empty("text")
     own = items.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"))
     n_bytes, n = own.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
@@ -260,8 +263,8 @@ def _searched(rows: DataFrame, index: ItemIndex) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, len(batch), 500):
-                part = batch.slice(begin, 500)
+            for begin in range(0, len(batch), SEARCHED_ROWS):
+                part = batch.slice(begin, SEARCHED_ROWS)
                 ids, ties = part["doc_id"].to_pylist(), part["tie"].to_pylist()
                 out = [
                     (ids[t], ties[t], shared.value.ids[i], s, q, a, at)

@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty, written_small
-from runsift.llm.tokens import END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
+from runsift.llm.common import batch_rows, text_or_empty, written_small
+from runsift.llm.tokens import BATCH_ROWS, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
 from runsift.session import written
 
 CAPACITY = 4096
@@ -65,6 +65,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
                         columns[name].append(value)
             yield pa.RecordBatch.from_pydict(columns, _PIECES_ARROW)
 
+    batch_rows(docs.sparkSession, BATCH_ROWS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     return rows.mapInArrow(cut, PIECES)
 

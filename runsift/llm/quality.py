@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import free_names, text_or_empty
+from runsift.llm.common import batch_rows, free_names, text_or_empty
 
 MAX_LABELLED = 4096
 DIMENSIONS = 48
@@ -39,8 +39,8 @@ ACCEPTED_FROM = 0.7
 BYTE_TERMS, KIND_TERMS, REPEAT_TERMS = 2048, 1024, 16
 TERMS = BYTE_TERMS + KIND_TERMS + REPEAT_TERMS
 FAMILIES = (slice(0, BYTE_TERMS), slice(BYTE_TERMS, BYTE_TERMS + KIND_TERMS), slice(BYTE_TERMS + KIND_TERMS, TERMS))
-# Documents whose vectors a task holds at once, and bytes of text it counts at once.
-BLOCK_DOCS, BLOCK_BYTES = 256, 1 << 20
+# Texts in an Arrow batch, documents whose vectors a task holds at once, bytes of text it counts at once.
+BATCH_ROWS, BLOCK_DOCS, BLOCK_BYTES = 1000, 256, 1 << 20
 
 
 def _kinds() -> np.ndarray:
@@ -162,6 +162,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLE
 
 def fitted(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     """Model from documents and labels; the driver holds the sample and one number per term."""
+    batch_rows(docs.sparkSession, BATCH_ROWS)
     idf = inverse_frequencies(docs)
     counts, quality = labelled_sample(docs, labels, limit)
     rows = vectors(counts, idf)

@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runsift.llm.common import text_or_empty
-from runsift.llm.tokens import END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
+from runsift.llm.common import batch_rows, text_or_empty
+from runsift.llm.tokens import BATCH_ROWS, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 20_000
 DICTIONARY_BYTES = 64 * 1024
@@ -113,6 +113,7 @@ class _Block:
 def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
     """Encode every text and write a token folder. One shuffle, of the texts, brings them into order."""
     spark = docs.sparkSession
+    batch_rows(spark, BATCH_ROWS)
     dictionary = trained_dictionary(docs, vocabulary, end_id)
     name = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(name, dictionary)], "hash string, dictionary binary").write.parquet(f"{path}/dictionary")

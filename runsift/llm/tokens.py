@@ -19,7 +19,9 @@ import pyarrow.compute as pc
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Distinct chunks a worker remembers before it starts anew.
-MEMO_CHUNKS = 1_000_000
+MEMO_CHUNKS = 800_000
+# Texts in an Arrow batch.
+BATCH_ROWS = 4000
 # Bytes of text whose distinct chunks are looked up together.
 BATCH_BYTES = 1 << 24
 # ASCII marks that may end a chunk; a run of them is a token group of its own.
