@@ -4,8 +4,8 @@ The test items are the indexed documents, every passage of the training texts is
 its BM25 weight divided by the item's score against itself, so a score is the weighted share of the item that a passage
 holds, and one threshold serves all items. All items over the threshold are retrieved:
 
-* Terms are taken from the most common on as long as they alone could not lift any item over the threshold (their list
-  bounds). Only passages with one of the other, pivotal terms can reach it; the rest are skipped unscored.
+* An item's terms are taken from the most common on as long as they alone stay `MARGIN` under the threshold. Passages must
+  hold so much of its other, pivotal terms at least, so only pivotal postings are followed first.
 * Items lie in blocks. A passage and a block are scored only if the block maxima of the passage's pivotal terms and the
   block's maximum over all common terms reach the threshold together.
 * What is left is scored exactly from the postings.
@@ -39,7 +39,7 @@ from runsift.llm.common import batch_rows, free_names, text_or_empty, written_sm
 from runsift.session import written
 
 K1, B = 1.2, 0.75
-THRESHOLD = 0.6
+THRESHOLD, MARGIN = 0.6, 0.25
 FULL, PART = 0.8, 0.5
 GRAM = 5
 BLOCK_ITEMS = 16
@@ -91,17 +91,17 @@ class ItemIndex:
     starts: np.ndarray  # postings of a term: starts[t] to starts[t + 1]
     items: np.ndarray  # item of a posting, ascending within a term
     impacts: np.ndarray
-    pivotal: np.ndarray  # per term
-    block_starts: np.ndarray  # (term, block) maxima of a term: block_starts[t] to block_starts[t + 1]
+    block_starts: np.ndarray  # (term, block) maxima of a term's pivotal postings: block_starts[t] to block_starts[t + 1]
     blocks: np.ndarray
     block_max: np.ndarray
-    common_max: np.ndarray  # per block: most that common terms alone give one of its items
+    common_max: np.ndarray  # per block: most that its other terms alone give one of its items
     threshold: float
 
     @classmethod
     def built(cls, rows: list[tuple[int | None, str]], df: dict[str, int], n: int, mean: float, threshold: float) -> ItemIndex:
         tokens = sorted(((words(t), i, t) for i, t in rows if words(t)), key=lambda x: (len(x[0]), x[1] or 0, x[2]))
-        postings: dict[str, list[tuple[int, float]]] = {}
+        postings: dict[str, list[tuple[int, float, bool]]] = {}
+        common = np.zeros(len(tokens))
         for item, (own, _, _) in enumerate(tokens):
             weight = {}
             for term in set(own):
@@ -109,24 +109,21 @@ class ItemIndex:
                 tf = own.count(term)
                 weight[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(own) / mean))
             whole = sum(weight.values())
-            for term, value in weight.items():
-                postings.setdefault(term, []).append((item, value / whole))
+            # The most common terms first; of equally common ones the shorter, which texts hold more often.
+            for term in sorted(weight, key=lambda w: (-df[w], len(w), w)):
+                impact = weight[term] / whole
+                pivotal = common[item] + impact >= threshold - MARGIN
+                common[item] += 0 if pivotal else impact
+                postings.setdefault(term, []).append((item, impact, pivotal))
         terms = {term: k for k, term in enumerate(postings)}
         sizes = np.array([len(p) for p in postings.values()], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        items = np.array([i for p in postings.values() for i, _ in p], np.int64)
-        impacts = np.array([v for p in postings.values() for _, v in p])
-        # From the most common term on: common, unless some item could then reach the threshold by common terms alone.
-        pivotal, common = np.ones(len(terms), bool), np.zeros(len(tokens))
-        for t in np.argsort(-sizes, kind="stable"):
-            own = slice(starts[t], starts[t + 1])
-            if (common[items[own]] + impacts[own] >= threshold - 1e-9).any():
-                continue
-            common[items[own]] += impacts[own]
-            pivotal[t] = False
-        key = np.repeat(np.arange(len(terms)), sizes) * (len(tokens) + 1) + items // BLOCK_ITEMS
+        items = np.array([i for p in postings.values() for i, _, _ in p], np.int64)
+        impacts = np.array([v for p in postings.values() for _, v, _ in p])
+        pivotal = np.array([x for p in postings.values() for _, _, x in p], bool)
+        key = (np.repeat(np.arange(len(terms)), sizes) * (len(tokens) + 1) + items // BLOCK_ITEMS)[pivotal]
         unique, first = np.unique(key, return_index=True)
-        maxima = np.maximum.reduceat(impacts, first) if len(first) else np.zeros(0)
+        maxima = np.maximum.reduceat(impacts[pivotal], first) if len(first) else np.zeros(0)
         counts = np.bincount(unique // (len(tokens) + 1), minlength=len(terms))
         common_max = np.maximum.reduceat(common, np.arange(0, len(common), BLOCK_ITEMS)) if len(common) else common
         return cls(
@@ -137,7 +134,6 @@ class ItemIndex:
             starts,
             items,
             impacts,
-            pivotal,
             np.concatenate([[0], np.cumsum(counts)]).astype(np.int64),
             unique % (len(tokens) + 1),
             maxima,
@@ -152,7 +148,7 @@ class ItemIndex:
         `windows_of` to `last_of`.
         """
         known = np.flatnonzero(terms >= 0)
-        hot = known[self.pivotal[terms[known]]]
+        hot = known[np.diff(self.block_starts)[terms[known]] > 0]
         window, term = _once(self._in_windows(hot, windows_of, last_of), terms, hot, len(self.terms))
         # Block maxima of the pivotal terms, and the bound of the common ones, for every (window, block) they touch.
         n_blocks = len(self.common_max)
@@ -194,7 +190,8 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _once(placed: tuple[np.ndarray, np.ndarray], terms: np.ndarray, positions: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Each term once per window."""
     window, row = placed
-    key = np.unique(window * n + terms[positions[row]])
+    key = np.sort(window * n + terms[positions[row]])
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
     return key // n, key % n
 
 
