@@ -126,8 +126,17 @@ def rebuild_report(
     )
 
 
-def rebuild_status(report: DataFrame) -> DataFrame:
-    """One row: code, message, jobs begun and runs processed; any error makes the whole code 2."""
+def elapsed_seconds(elapsed_ms: Column) -> Column:
+    """Whole seconds of a duration in milliseconds."""
+    return F.floor(elapsed_ms / 1000).cast("bigint")
+
+
+def rebuild_status(report: DataFrame, elapsed_ms: int | None = None) -> DataFrame:
+    """One row: code, message, jobs begun and runs processed; any error makes the whole code 2.
+
+    With the duration of the rebuild, as whoever ran it measured it, there is also ``elapsed_s``.
+    """
+    timed = [] if elapsed_ms is None else [elapsed_seconds(F.lit(elapsed_ms)).alias("elapsed_s")]
     failed = F.col("state") == "COMPLETE_WITH_ERROR"
     rolled = report.agg(
         F.count(F.lit(1)).alias("n_jobs"),
@@ -145,6 +154,7 @@ def rebuild_status(report: DataFrame) -> DataFrame:
         (F.col("n_jobs") == 0).alias("never_started"),
         "n_jobs",
         "processed_items",
+        *timed,
     )
 
 

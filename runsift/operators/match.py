@@ -47,14 +47,32 @@ def term_weight(tf: Column, dl: Column, avg_len: Column) -> Column:
     return tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / avg_len))
 
 
-def weighted_terms(terms: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
+def asked_words(terms: DataFrame, small: bool) -> list[str] | None:
+    """The words of a counted small query table if they are few; then scans skip what holds none of them.
+
+    The bound is the number of values that Parquet filters test one by one.
+    """
+    if not small:
+        return None
+    most = int(terms.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
+    found = [row.term for row in terms.select("term").distinct().limit(most + 1).collect()]
+    return found if len(found) <= most else None
+
+
+def _holding(rows: DataFrame, words: list[str] | None) -> DataFrame:
+    return rows if words is None else rows.where(F.col("term").isin(*words) if words else F.lit(False))
+
+
+def weighted_terms(
+    terms: DataFrame, index: SearchIndex, small: bool, words: list[str] | None = None
+) -> DataFrame:
     """Add idf and avg_len to query terms; terms that occur nowhere drop out."""
     placed = terms
     if "tp" not in terms.columns:
         placed = terms.withColumn("tp", term_part(F.col("term"), index.term_parts))
     placed = placed.where("term != ''")
     asked = F.broadcast(placed) if small else placed
-    parts = [p.join(asked, ["tp", "field", "term"]) for p in index.term_stat_parts()]
+    parts = [_holding(p, words).join(asked, ["tp", "field", "term"]) for p in index.term_stat_parts()]
     found = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
         same = [c for c in found.columns if c != "df"]
@@ -73,8 +91,10 @@ def with_weights(terms: DataFrame, index: SearchIndex) -> DataFrame:
     )
 
 
-def term_hits(weighted: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
-    """Join query terms to their postings.
+def term_hits(
+    weighted: DataFrame, index: SearchIndex, small: bool, words: list[str] | None = None
+) -> DataFrame:
+    """Join query terms to their postings. ``words`` are all terms asked for, if those are few.
 
     A measured small query table is broadcast: postings stay where they are and only the term
     partitions asked for are read. Otherwise both sides shuffle by term, and adaptive execution
@@ -83,7 +103,8 @@ def term_hits(weighted: DataFrame, index: SearchIndex, small: bool) -> DataFrame
     on = ["tp", "field", "term"]
     asked = weighted.where("term != ''")
     asked = F.broadcast(asked) if small else asked
-    return reduce(DataFrame.unionByName, [p.join(asked, on) for p in index.posting_parts()])
+    parts = [_holding(p, words).join(asked, on) for p in index.posting_parts()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def score_documents(hits: DataFrame) -> DataFrame:
@@ -122,4 +143,5 @@ def score_documents(hits: DataFrame) -> DataFrame:
 
 def match(terms: DataFrame, index: SearchIndex, small: bool) -> DataFrame:
     """(qid, project, number, score) of every matching document, unranked."""
-    return score_documents(term_hits(weighted_terms(terms, index, small), index, small))
+    words = asked_words(terms, small)
+    return score_documents(term_hits(weighted_terms(terms, index, small, words), index, small, words))

@@ -60,6 +60,13 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:
     return measured_bytes(df) <= limit
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast a table only after counting its bytes; otherwise leave the join to shuffle."""
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+def broadcast_if_small(
+    df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES, stored: bool = False
+) -> DataFrame:
+    """Broadcast a narrow table only after counting its bytes; otherwise leave the join to shuffle.
+
+    The table is written first, so that it is computed once for the count and the join; ``stored``
+    says that it is read from files already.
+    """
+    kept = df if stored else written(df, "measured")
+    return F.broadcast(kept) if fits_broadcast(kept, limit) else kept

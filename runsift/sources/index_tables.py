@@ -66,8 +66,8 @@ class SearchIndex:
         registry = registry or FieldRegistry()
         spark = docs.sparkSession
         if doc_buckets is None:
-            # As many as the data fills, up to the number of shuffle tasks this cluster is set to.
-            most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # As many as the data fills, up to the number that Spark allows a table.
+            most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
             doc_buckets = min(most, max(8, source_bytes(docs) // BUCKET_BYTES))
         index = cls(
             spark,
@@ -177,7 +177,9 @@ class SearchIndex:
         own = self._own_postings
         if self.base is None:
             return [own]
-        removed = broadcast_if_small(self._read("removed", "project string, number bigint"))
+        removed = broadcast_if_small(
+            self._read("removed", "project string, number bigint"), stored=True
+        )
         return [*[p.join(removed, KEY, "left_anti") for p in self.base.posting_parts()], own]
 
     def term_stat_parts(self) -> list[DataFrame]:

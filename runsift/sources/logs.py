@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,21 +70,53 @@ def read_files(spark: SparkSession, root: str, name_filter: str | None = None) -
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    base = r"^(?:file:)?/*" + root.strip("/").replace(".", r"\.") + "/"
     files = reader.option("ignoreCorruptFiles", "true").load(root)
-    relative = F.regexp_replace(F.regexp_replace("path", r"^file:/*", "/"), base, "")
-    return files.select(F.translate(relative, "\\", "/").alias("path"), "content")
+    return files.select(_relative(F.col("path"), root).alias("path"), "content")
+
+
+_STORE = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?/*"
+
+
+def _relative(path: Column, root: str) -> Column:
+    """A path below the root, whatever scheme and host either of them names."""
+    below = "/" + re.sub(_STORE, "/", root).strip("/")
+    plain = F.translate(F.regexp_replace(path, _STORE, "/"), "\\", "/")
+    inside = F.substring(plain, F.lit(len(below.rstrip("/")) + 2), F.length(plain))
+    return F.when(F.startswith(plain, F.lit(below.rstrip("/") + "/")), inside).otherwise(plain)
+
+
+_LOG = r"^(.*)/(\d+)/log$"
+
+
+def _run_of(path: Column) -> list[Column]:
+    return [
+        F.regexp_extract(path, _LOG, 1).alias("project"),
+        F.regexp_extract(path, _LOG, 2).cast("bigint").alias("number"),
+    ]
 
 
 def read_console_logs(spark: SparkSession, root: str, charset: str = "UTF-8") -> DataFrame:
-    """(project, number, console) from ``<project>/<number>/log`` files; unreadable logs are absent."""
-    files = read_files(spark, root, "log")
-    at = r"^(.*)/(\d+)/log$"
-    return files.where(F.col("path").rlike(at)).select(
-        F.regexp_extract("path", at, 1).alias("project"),
-        F.regexp_extract("path", at, 2).cast("bigint").alias("number"),
-        decode_text(F.col("content"), charset).alias("console"),
-    )
+    """(project, number, console) from ``<project>/<number>/log`` files.
+
+    A log that is listed but cannot be read keeps its run, with a null console. A log is one value;
+    ``read_log_lines`` reads logs of any size.
+    """
+    files = read_files(spark, root, "log").where(F.col("path").rlike(_LOG))
+    listed = files.select(*_run_of(F.col("path")))
+    read = files.select(*_run_of(F.col("path")), decode_text(F.col("content"), charset).alias("console"))
+    return listed.join(read, ["project", "number"], "left")
+
+
+def read_log_lines(spark: SparkSession, root: str) -> DataFrame:
+    """(project, number, field, text): the lines of UTF-8 logs, as ``pieces`` of an index take them.
+
+    Files are split between tasks, so a log may be larger than any row or task.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "log")
+    lines = reader.option("lineSep", "\n").text(root)
+    path = _relative(F.col("_metadata.file_path"), root)
+    rows = lines.select(path.alias("path"), F.make_valid_utf8("value").alias("text"))
+    return rows.where(F.col("path").rlike(_LOG)).select(*_run_of(F.col("path")), F.lit("c").alias("field"), "text")
 
 
 def read_artifacts(

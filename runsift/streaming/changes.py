@@ -19,7 +19,7 @@ from runsift.fields import FieldRegistry
 from runsift.operators.documents import build_documents
 from runsift.operators.maintain import runs_of
 from runsift.schemas import KEY, RUN_EVENTS
-from runsift.session import broadcast_if_small
+from runsift.session import broadcast_if_small, written
 
 PUT_OPS = ("completed", "changed")
 
@@ -91,7 +91,7 @@ def merge(base: DataFrame, events: DataFrame) -> DataFrame:
     """
     fresh = compacted(events)
     newer = last_changes(events).select(*KEY, F.col("seq").alias("new_seq"))
-    both = base.where("op != 'job_deleted'").select(*KEY, "seq").join(newer, KEY)
+    both = written(base.where("op != 'job_deleted'").select(*KEY, "seq").join(newer, KEY), "overtaken")
     overtaken = both.where("new_seq > seq").select(*KEY)
     late = both.where("new_seq <= seq").select(*KEY)
     kept = base.join(broadcast_if_small(overtaken), KEY, "left_anti")

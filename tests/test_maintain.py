@@ -170,6 +170,8 @@ def test_log_and_artifact_files(spark, tmp_path):
         (folder / "archive" / "skip.bin").write_bytes(b"\x00")
     got = {(r.project, r.number): r.console for r in logs.read_console_logs(spark, str(tmp_path)).collect()}
     assert got == {("app", 1): "ok é\n", ("f/job", 2): "bad \ufffd byte"}
+    lines = {(r.project, r.number, r.field, r.text) for r in logs.read_log_lines(spark, str(tmp_path)).collect()}
+    assert lines == {("app", 1, "c", "ok é"), ("f/job", 2, "c", "bad \ufffd byte")}
     files = logs.read_artifacts(spark, str(tmp_path), "**/*.txt, *.bin", "skip.*", "cp1252")
     assert {(r.project, r.number, r.path, r.content) for r in files.collect()} == {
         ("app", 1, "out/a.txt", "grün"),
@@ -231,3 +233,15 @@ def test_streams_and_manual_batches_share_a_log(spark):
         feed.awaitTermination()
     log.append(spark.createDataFrame([(9, "completed", "p", 9, "by hand")], schema), 0)
     assert {r.c for r in log.current().collect()} == {"text 0", "text 1", "by hand"}
+
+
+def test_log_paths_below_any_root(spark):
+    rows = spark.createDataFrame([("hdfs://host:8020/a+b/app/1/log",)], "path string")
+    for root in ("hdfs:///a+b", "hdfs://other/a+b/", "/a+b"):
+        assert rows.select(logs._relative(F.col("path"), root)).first()[0] == "app/1/log"
+
+
+def test_elapsed_time_in_status(spark, sf):
+    report = M.rebuild_report(A.jobs(spark, sf), A.runs(spark, sf), A.runs(spark, sf).selectExpr("project", "number", "'x' AS reason").limit(0))
+    assert M.rebuild_status(report, 61_999).first().elapsed_s == 61
+    assert "elapsed_s" not in M.rebuild_status(report).columns
