@@ -281,3 +281,12 @@ def test_pieces_are_one_field(spark, runs):
     assert found == [{("app", 1)}, {("app", 1)}, set()]
     row = index.postings.where("field = 'artifact' AND term = 'alpha'").first()
     assert (row.tf, row.dl) == (2, 4)
+
+
+def test_few_words_reach_the_scan(spark, sf):
+    """A search for few words filters the postings by them, beside the join that decides."""
+    few = spark.createDataFrame([(1, "the")], "qid long, q string")
+    from runsift.plans import registered as R
+
+    plan = R.searcher(spark, sf).scored(few)._jdf.queryExecution().optimizedPlan().toString()
+    assert "= the)" in plan
