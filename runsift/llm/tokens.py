@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Distinct chunks a worker remembers before it starts anew.
-MEMO_CHUNKS = 800_000
+MEMO_CHUNKS = 700_000
 # Texts in an Arrow batch.
-BATCH_ROWS = 4000
+BATCH_ROWS = 1500
 # Bytes of text whose distinct chunks are looked up together.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 22
 # ASCII marks that may end a chunk; a run of them is a token group of its own.
 TAIL_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Byte-level vocabularies show the printable Latin-1 bytes as themselves and the others, in order, from U+0100 on.
@@ -33,6 +33,8 @@ BYTE_LETTERS = {b: 0x100 + n for n, b in enumerate(b for b in range(256) if b no
 
 def _pieces_of(chunk: str) -> tuple[str, ...]:
     """A word and the marks after it are encoded apart, as the vocabulary splits them itself."""
+    if chunk.isascii() and chunk.isalpha():
+        return (chunk.lower(),)
     stem = chunk.rstrip(TAIL_MARKS)
     if not _is_latin_word(stem):
         return (chunk,)
@@ -58,17 +60,16 @@ class TextEncoder:
 
     def _forget(self) -> None:
         self._chunks: dict[str, int] = {}
-        self._pieces: dict[str, bytes] = {}
         self._flat = np.zeros(0, np.uint32)
         self._starts = np.zeros(1, np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
         """Give new chunks numbers, in order, and store their ids behind those known."""
         split = [_pieces_of(chunk) for chunk in chunks]
-        pieces = self._pieces
-        new = {piece for parts in split for piece in parts} - pieces.keys()
+        # Words with different marks behind them share their pieces; those are kept for this batch only.
+        pieces: dict[str, bytes] = {}
         other = []
-        for piece in new:
+        for piece in {piece for parts in split for piece in parts}:
             if _is_latin_word(piece):
                 shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
                 pieces[piece] = array("I", [token.id for token in self._model.tokenize(shown)]).tobytes()
