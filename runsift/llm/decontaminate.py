@@ -98,7 +98,10 @@ class ItemIndex:
     threshold: float
 
     @classmethod
-    def built(cls, rows: list[tuple[int | None, str]], df: dict[str, int], n: int, mean: float, threshold: float) -> ItemIndex:
+    def built(
+        cls, rows: list[tuple[int | None, str]], df: dict[str, int], n: int, mean: float, threshold: float
+    ) -> ItemIndex:
+        """Index of (item_id, text) rows; `df`, `n` and `mean` (document frequency, number, mean length) are of all items."""
         tokens = sorted(((words(t), i, t) for i, t in rows if words(t)), key=lambda x: (len(x[0]), x[1] or 0, x[2]))
         postings: dict[str, list[tuple[int, float, bool]]] = {}
         common = np.zeros(len(tokens))
@@ -141,7 +144,9 @@ class ItemIndex:
             threshold,
         )
 
-    def retrieved(self, terms: np.ndarray, n_windows: int, windows_of: np.ndarray, last_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def retrieved(
+        self, terms: np.ndarray, n_windows: int, windows_of: np.ndarray, last_of: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item, score) of all items over the threshold.
 
         `terms` are term numbers (-1: in no item) at the positions of all texts; a position lies in windows
@@ -187,7 +192,9 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begin[row], row
 
 
-def _once(placed: tuple[np.ndarray, np.ndarray], terms: np.ndarray, positions: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _once(
+    placed: tuple[np.ndarray, np.ndarray], terms: np.ndarray, positions: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Each term once per window."""
     window, row = placed
     key = np.sort(window * n + terms[positions[row]])
@@ -206,7 +213,7 @@ def _search(index: ItemIndex, texts: list[str]) -> Iterator[tuple[int, int, floa
     # Window k of a text covers its words from k times `window` on, twice `window` of them; the last may be shorter.
     counts = np.maximum(1, -(-lengths // index.window) - 1)
     before = np.cumsum(counts) - counts
-    text_of, position = np.repeat(np.arange(len(lengths)), lengths), np.zeros(len(flat), np.int64)
+    text_of = np.repeat(np.arange(len(lengths)), lengths)
     position = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     last = np.minimum(position // index.window, counts[text_of] - 1)
     first = np.maximum(position // index.window - 1, 0)
@@ -223,7 +230,9 @@ def _search(index: ItemIndex, texts: list[str]) -> Iterator[tuple[int, int, floa
         yield t, i, s, overlap(question, tokens[t]), overlap(answer, tokens[t]), at
 
 
-def findings(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
+def findings(
+    docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, max_item_bytes: int = MAX_ITEM_BYTES
+) -> DataFrame:
     """(doc_id, tie, item_id, score, question_overlap, answer_overlap, word_at): verified leaks.
 
     `docs` has doc_id and text, `items` item_id and text; tie is a hash of the document's text.

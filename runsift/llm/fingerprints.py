@@ -49,7 +49,7 @@ def fingerprinted(df: DataFrame, key: list[str], text: str = "text") -> DataFram
 
 
 def shown(high: Column | str, low: Column | str) -> Column:
-    return F.concat(hex16(F.col(high) if isinstance(high, str) else high), hex16(F.col(low) if isinstance(low, str) else low))
+    return F.concat(*[hex16(F.col(half) if isinstance(half, str) else half) for half in (high, low)])
 
 
 def distance(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
@@ -83,9 +83,11 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> Dat
         )
 
     def tables(df: DataFrame) -> DataFrame:
-        rows = df.select(*WORDS_64).distinct()
-        values = [F.struct(F.lit(j).alias("table"), block(edges[j], edges[j + 1]).alias("value")) for j in range(blocks)]
-        return rows.select(*WORDS_64, F.explode(F.array(*values)).alias("b")).select(*WORDS_64, "b.table", "b.value.*")
+        values = [
+            F.struct(F.lit(j).alias("table"), block(edges[j], edges[j + 1]).alias("value")) for j in range(blocks)
+        ]
+        rows = df.select(*WORDS_64).distinct().select(*WORDS_64, F.explode(F.array(*values)).alias("b"))
+        return rows.select(*WORDS_64, "b.table", "b.value.*")
 
     wanted = tables(queries).withColumnsRenamed({"fp_high": "q_high", "fp_low": "q_low"})
     pairs = wanted.join(tables(prints), ["table", "h", "l"])
@@ -185,7 +187,9 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("version") == 0, pair)).alias("own"), F.max(F.when(F.col("version") == 1, pair)).alias("edited")
     )
     rows = written(rows, "fingerprints")
-    firsts = rows.where("copy = 1").select(F.col("key").alias("next_key"), F.col("tie").alias("next_tie"), F.col("own").alias("next"))
+    firsts = rows.where("copy = 1").select(
+        F.col("key").alias("next_key"), F.col("tie").alias("next_tie"), F.col("own").alias("next")
+    )
     successors = order.join(firsts, ["next_key", "next_tie"]).select("key", "tie", "next")
     rows = rows.join(successors, ["key", "tie"])
     following = F.when(F.col("copy") < F.col("copies"), F.col("own")).otherwise(F.col("next"))

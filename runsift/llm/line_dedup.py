@@ -38,7 +38,8 @@ def _hashes(text: Column) -> tuple[Column, Column]:
 def _numbered_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, row_key, line_no, line, h1, h2): every line of every document."""
     text = text_or_empty("text")
-    rows = docs.select("doc_id", F.xxhash64(text).alias("row_key"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    lines = F.posexplode(F.split(text, "\n")).alias("line_no", "line")
+    rows = docs.select("doc_id", F.xxhash64(text).alias("row_key"), lines)
     h1, h2 = _hashes(F.col("line"))
     return rows.withColumns({"h1": h1, "h2": h2})
 
@@ -165,7 +166,8 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda line, i: ~F.array_contains(F.col(lost), i))
     changed = F.col(lost).isNotNull()
-    columns = [F.when(changed, F.array_join(kept, "\n")).otherwise(docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns]
+    left = F.when(changed, F.array_join(kept, "\n")).otherwise(docs["text"]).alias("text")
+    columns = [left if c == "text" else docs[c] for c in docs.columns]
     n_gone = F.when(changed, F.size(lost)).otherwise(0)
     return joined.select(
         *columns, (F.size(lines) - n_gone).cast("long").alias("lines_kept"), n_gone.cast("long").alias("lines_dropped")

@@ -145,7 +145,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> tuple[np.ndarray, np.ndarray]:
     """Counts and labels of a bounded number of labelled documents. `labels` has doc_id and quality."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     # Some labels have no document.
     present = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = present.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -155,7 +156,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLE
     packed = F.pandas_udf(
         lambda texts: pd.Series([term_counts(t).astype(np.float32).tobytes() for t in texts]), "binary"
     )
-    table = rows.select("doc_id", "quality", packed("text").alias("counts")).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    rows = rows.select("doc_id", "quality", packed("text").alias("counts"))
+    table = rows.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
     counts = [np.frombuffer(b, np.float32) for b in table["counts"].to_pylist()]
     return np.stack(counts) if counts else np.zeros((0, TERMS), np.float32), table["quality"].to_numpy()
 

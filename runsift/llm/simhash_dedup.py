@@ -26,7 +26,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runsift.llm.common import ascii_lower, ascii_words, free_names, hex16, shingle_rows, text_or_empty, vote_sums, voted_bits, written_small
+from runsift.llm.common import (
+    ascii_lower,
+    ascii_words,
+    free_names,
+    hex16,
+    shingle_rows,
+    text_or_empty,
+    vote_sums,
+    voted_bits,
+    written_small,
+)
 from runsift.llm.components import components
 from runsift.session import written
 
@@ -83,7 +93,9 @@ class _Forest:
         return changes[end] == changes[begin + 1]
 
 
-def _expanded(begin_a: np.ndarray, size_a: np.ndarray, begin_b: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _expanded(
+    begin_a: np.ndarray, size_a: np.ndarray, begin_b: np.ndarray, size_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     """All leaf pairs of the given node pairs."""
     sizes = size_a * size_b
     within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)

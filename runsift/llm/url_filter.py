@@ -243,4 +243,5 @@ def judge_urls(
     rule = F.try_element_at("keys", (F.col("found") + 1).cast("int"))
     names = F.lit(list(ACTIONS))
     verdict = F.when(F.col("action") < 0, default).otherwise(F.get(names, F.col("action").cast("int")))
-    return judged.select("page_id", "host", "path", F.when(F.col("action") >= 0, rule).alias("rule"), verdict.alias("verdict"))
+    rule = F.when(F.col("action") >= 0, rule)
+    return judged.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
