@@ -40,6 +40,8 @@ DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 # Payload after which a block is closed; a longer document makes a longer block of its own.
 BLOCK_BYTES = 1 << 20
+# Blocks in an Arrow batch when they are read.
+READ_BLOCKS = 4
 BLOCKS_SCHEMA = (
     "shard int, block int, dictionary_hash string, payload binary, doc_ids array<long>, offsets array<long>, "
     "lengths array<long>, starts array<long>, counts array<long>"
@@ -162,20 +164,22 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     fields += [("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int64()))] * with_ids
     schema = pa.schema(fields)
 
+    batch_rows(spark, READ_BLOCKS)
+
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decompressor = _codec(shared.value)
         for batch in batches:
-            for block in batch.to_pylist():
-                if block["dictionary_hash"] != name:
+            for at in range(len(batch)):
+                block = {field: batch[field][at] for field in batch.schema.names}
+                if block["dictionary_hash"].as_py() != name:
                     raise ValueError(f"a block needs the dictionary {block['dictionary_hash']}, the folder has {name}")
-                arrays = [
-                    deserialised(decompressor.decompress(block["payload"][at : at + size]))
-                    for at, size in zip(block["offsets"], block["lengths"], strict=True)
-                ]
+                payload = memoryview(block["payload"].as_buffer())
+                places = zip(block["offsets"].as_py(), block["lengths"].as_py(), strict=True)
+                arrays = [deserialised(decompressor.decompress(payload[a : a + size])) for a, size in places]
                 rows = {
-                    "shard": [block["shard"]] * len(arrays),
-                    "doc_id": block["doc_ids"],
-                    "start": block["starts"],
+                    "shard": [block["shard"].as_py()] * len(arrays),
+                    "doc_id": block["doc_ids"].values,
+                    "start": block["starts"].values,
                     "n_tokens": [len(a) for a in arrays],
                     "ids_crc32": [crc32_of(a) for a in arrays],
                 }

@@ -125,7 +125,8 @@ class TextEncoder:
 
 @functools.lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> TextEncoder:
-    """One encoder per worker process and vocabulary file."""
+    """One encoder per worker process and vocabulary file; Arrow's freed memory goes back to the system there."""
+    pa.set_memory_pool(pa.system_memory_pool())
     return TextEncoder(vocabulary)
 
 
