@@ -211,8 +211,13 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Of rows repeated with the same id and text any one stays.
     """
+    return one_of_classes(docs, classified(docs.select("doc_id", "text"), radius))
+
+
+def one_of_classes(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """As `one_of_each`, by classes (doc_id, tie, root) made already."""
     doc, tie, times_name = free_names(docs, "stays_id", "stays_tie", "stays_times")
-    rows = written(classified(docs.select("doc_id", "text"), radius), "simhash-classified")
+    rows = written(classes, "simhash-classified")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
     stays = rows.groupBy("root").agg(F.min(order).alias("s"))
     times = rows.groupBy("root", "doc_id", "tie").agg(F.count("*").alias("times"))
