@@ -2,7 +2,8 @@
 
 The test items are the indexed documents, every passage of the training texts is a query. A term's impact on an item is
 its BM25 weight divided by the item's score against itself, so a score is the weighted share of the item that a passage
-holds, and one threshold serves all items. All items over the threshold are retrieved:
+holds, and one threshold serves all items. All items over the threshold are retrieved, and so is every item of which a
+text holds `PART` of the 5-grams of a part that decides (below), whatever its score. By score:
 
 * An item's terms are taken from the most common on as long as they alone stay `MARGIN` under the threshold. Passages must
   hold so much of its other, pivotal terms at least, so only pivotal postings are followed first.
@@ -13,7 +14,8 @@ holds, and one threshold serves all items. All items over the threshold are retr
 Passages are windows of twice the longest item's words, one item's length apart, so an item that stands in a text lies
 whole in one window. A retrieved item is verified against the text: its question (all but the last sentence) and its
 answer (the last sentence) are compared by word 5-grams. A text leaks an item if it holds `FULL` of the question's
-5-grams, or `PART` of the question's and of the answer's.
+5-grams, or `PART` of the question's and of the answer's. A question of fewer than five words counts only together with
+its answer: `PART` of an answer of five words or more, or an item over the score threshold.
 
 The index of a set of items is broadcast. Its size is checked first; more items than `max_item_bytes` are split by hash
 into sets, each searched in a pass of its own. Statistics (document frequency, mean length) are of all items.
@@ -96,6 +98,9 @@ class ItemIndex:
     block_max: np.ndarray
     common_max: np.ndarray  # per block: most that its other terms alone give one of its items
     threshold: float
+    gram_keys: np.ndarray  # hashed 5-grams of the deciding parts, ascending, and the item of each
+    gram_items: np.ndarray
+    gram_counts: np.ndarray  # per item: 5-grams of its deciding part, the question or, if that is short, the answer
 
     @classmethod
     def built(
@@ -119,6 +124,11 @@ class ItemIndex:
                 common[item] += 0 if pivotal else impact
                 postings.setdefault(term, []).append((item, impact, pivotal))
         terms = {term: k for k, term in enumerate(postings)}
+        deciding = [_deciding_part(text) for _, _, text in tokens]
+        keys = [np.unique(_gram_keys(np.array([terms.get(w, -1) for w in part], np.int64))) for part in deciding]
+        gram_counts = np.array([len(k) for k in keys], np.int64)
+        gram_keys = np.concatenate([*keys, np.zeros(0, np.uint64)])
+        by_key = np.argsort(gram_keys, kind="stable")
         sizes = np.array([len(p) for p in postings.values()], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
         items = np.array([i for p in postings.values() for i, _, _ in p], np.int64)
@@ -142,8 +152,39 @@ class ItemIndex:
             maxima,
             common_max,
             threshold,
+            gram_keys[by_key],
+            np.repeat(np.arange(len(tokens)), gram_counts)[by_key],
+            gram_counts,
         )
 
+    def holding(self, terms: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item): texts that hold `PART` of the 5-grams of an item's deciding part."""
+        if len(terms) < GRAM or not len(self.gram_keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Five known words in a row, all of one text.
+        unknown = np.concatenate([[0], np.cumsum(terms < 0)])
+        at = np.flatnonzero((unknown[GRAM:] == unknown[:-GRAM]) & (text_of[GRAM - 1 :] == text_of[: 1 - GRAM]))
+        key, text = _gram_keys(terms)[at], text_of[at]
+        begin, end = np.searchsorted(self.gram_keys, key, "left"), np.searchsorted(self.gram_keys, key, "right")
+        place, row = _ranges(begin, end)
+        found = np.unique(text[row] * len(self.gram_keys) + place)
+        n = len(self.ids)
+        pair, held = np.unique(found // len(self.gram_keys) * n + self.gram_items[found % len(self.gram_keys)], return_counts=True)
+        pair = pair[held >= PART * self.gram_counts[pair % n] - 1e-9]
+        return pair // n, pair % n
+
+    def best_window(self, item: int, terms: np.ndarray, n_windows: int) -> tuple[float, int]:
+        """The item's score in the window of a text where it is highest, and the number of that window."""
+        postings = np.flatnonzero(self.items == item)
+        own = np.searchsorted(self.starts, postings, "right") - 1
+        impact = np.zeros(len(self.terms) + 1)
+        impact[own] = self.impacts[postings]
+        scores = [
+            float(impact[np.unique(terms[k * self.window : (k + 2) * self.window])].sum()) for k in range(n_windows)
+        ]
+        best = int(np.argmax(scores))
+        return scores[best], best
+
     def retrieved(
         self, terms: np.ndarray, n_windows: int, windows_of: np.ndarray, last_of: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,6 +226,28 @@ class ItemIndex:
         return at, row
 
 
+def _deciding_part(text: str) -> list[str]:
+    """The question, or the answer of a question of fewer than five words; nothing if both are that short."""
+    return next((part for part in question_and_answer(text) if len(part) >= GRAM), [])
+
+
+def _gram_keys(terms: np.ndarray) -> np.ndarray:
+    """A hash of the five term numbers from each position on."""
+    keys = np.zeros(max(len(terms) - GRAM + 1, 0), np.uint64)
+    for k in range(GRAM):
+        keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        keys += terms[k : k + len(keys)].astype(np.uint64)
+    return keys
+
+
+def is_leak(index: ItemIndex, item: int, score: float, question_overlap: float, answer_overlap: float) -> bool:
+    question, answer = question_and_answer(index.texts[item])
+    over = score >= index.threshold
+    full = question_overlap >= FULL and (over or len(question) >= GRAM)
+    part = question_overlap >= PART and answer_overlap >= PART
+    return full or (part and (over or len(question) >= GRAM or len(answer) >= GRAM))
+
+
 def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges, one after the other, and the range each comes from."""
     sizes = end - begin
@@ -225,6 +288,11 @@ def _search(index: ItemIndex, texts: list[str]) -> Iterator[tuple[int, int, floa
     for t, i, s, w in zip(text.tolist(), item.tolist(), score.tolist(), (window - before[text]).tolist(), strict=True):
         if s > best.get((t, i), (0.0, 0))[0]:
             best[t, i] = (s, w * index.window)
+    starts = np.cumsum(lengths) - lengths
+    for t, i in zip(*(x.tolist() for x in index.holding(flat, text_of)), strict=True):
+        if (t, i) not in best:
+            s, w = index.best_window(i, flat[starts[t] : starts[t] + lengths[t]], int(counts[t]))
+            best[t, i] = (s, w * index.window)
     for (t, i), (s, at) in best.items():
         question, answer = question_and_answer(index.texts[i])
         yield t, i, s, overlap(question, tokens[t]), overlap(answer, tokens[t]), at
@@ -275,7 +343,7 @@ def _searched(rows: DataFrame, index: ItemIndex) -> DataFrame:
                 out = [
                     (ids[t], ties[t], shared.value.ids[i], s, q, a, at)
                     for t, i, s, q, a, at in _search(shared.value, part["text"].to_pylist())
-                    if q >= FULL or (q >= PART and a >= PART)
+                    if is_leak(shared.value, i, s, q, a)
                 ]
                 columns = list(zip(*out, strict=True)) or [()] * len(_FINDINGS_ARROW)
                 yield pa.RecordBatch.from_arrays(

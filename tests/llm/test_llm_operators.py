@@ -503,6 +503,34 @@ def test_leaks_in_awkward_rows(spark, docs, rows, no_docs):
     assert decontaminate.findings(docs, items.limit(0)).count() == 0
 
 
+def test_questions_and_parts_of_items_leak(spark, sf, given_docs):
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    items += [(9001, "Why so? Because the old grey mill stands by the slow river in the north."), (9002, "Who? Me.")]
+    texts = []
+    for i, text in items:
+        question, answer = decontaminate.question_and_answer(text)
+        cut = [p[: -(-6 * len(p) // 10)] for p in (question, answer)]
+        texts += [" ".join(question), " ".join([*cut[0], "xx", *cut[1]]), " ".join(cut[1])]
+        texts.append(" ".join([*question[: len(question) // 2 + 3], *["yy"] * 900, *question[len(question) // 2 - 3 :]]))
+    long_items = [(i, t) for i, t in items if len(decontaminate.question_and_answer(t)[0]) >= 5]
+    texts += ["why so and nothing else", "why so? " + items[-2][1].split("? ")[1], *(t for _, t in given_docs[:50])]
+
+    def leaks(text, item):
+        question, answer = decontaminate.question_and_answer(item)
+        own = decontaminate.words(text or "")
+        q, a = decontaminate.overlap(question, own), decontaminate.overlap(answer, own)
+        return q >= 0.8 or (q >= 0.5 and a >= 0.5)
+
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.findings(docs_of(spark, list(enumerate(texts))), table).collect()}
+    want = {(d, i) for d, t in enumerate(texts) for i, item in long_items if leaks(t, item)}
+    longs = {i for i, _ in long_items}
+    assert {g for g in got if g[1] in longs} == want and len(want) > 2 * len(long_items) > 0
+    # A very short question is a leak only with its answer.
+    why = texts.index("why so and nothing else")
+    assert (why, 9001) not in got and (why + 1, 9001) in got
+
+
 # 10. Licenses
 
 
