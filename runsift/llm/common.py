@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +51,18 @@ def batch_rows(spark: SparkSession, rows: int) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+@contextmanager
+def batch_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of about so many bytes for the actions inside; the session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written_small(df: DataFrame, label: str, row_bytes: int = 64) -> DataFrame:
     """Write a narrow table once; broadcast what was written if its counted rows fit, else leave the join to shuffle."""
     kept = written(df, label)

@@ -1,7 +1,7 @@
 """DuckDB SQL that must agree with the queries, where SQL can say it.
 
-The others (packing, fingerprints, token files, classifier, SimHash, decontamination) need a tokenizer, XXH64 or a model;
-tests compare them with brute-force versions.
+The others (packing, fingerprints, token files, classifier, SimHash, decontamination, quality rules) need a tokenizer, XXH64
+or a model; tests compare them with brute-force versions.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from runsift.llm.common import LOWER, UPPER
 from runsift.llm.licenses import RULES, SENTENCES, known_sentences
 from runsift.llm.line_dedup import MIN_CHARS
+from runsift.llm.phrases import MIN_COUNT, NESTED_PERCENT, SCORE_SCALE, TOP
 from runsift.llm.registered import AWKWARD_CONVERSATION, AWKWARD_TEXT, URL_RULES
 
 
@@ -128,9 +129,127 @@ FROM ruled
 """
 
 
+# Levels of the manifest's trees that the SQL builds: up to 8^7 rows of a language, 8^3 languages.
+_LEVELS, _TOP_LEVELS = 7, 3
+
+
+def _encoded(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_encoded, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+# crc32 of the id's digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                lambda x, step: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+
+def _tree(prefix: str, levels: int) -> str:
+    """Level tables {prefix}1.. over {prefix}0 (grp, n, r, h) and, per node, its siblings left and right.
+
+    A group with one node keeps it on every further level.
+    """
+    parts = []
+    for k in range(levels):
+        run = "PARTITION BY grp, r // 8 ORDER BY r ROWS BETWEEN"
+        parts.append(
+            f"{prefix}{k}s AS (SELECT *, n > {8**k} AS more,"
+            f" coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,"
+            f" coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt FROM {prefix}{k})"
+        )
+        parts.append(
+            f"{prefix}{k + 1} AS (SELECT grp, n, r // 8 AS r, CASE WHEN n > {8**k} THEN sha256(string_agg(h, '' ORDER BY r))"
+            f" ELSE min(h) END AS h FROM {prefix}{k} GROUP BY grp, n, r // 8)"
+        )
+    return ",\n".join(parts)
+
+
+def _way(start: str, prefix: str, levels: int, out: str) -> str:
+    """Carry (grp, r, fold, beside) of {start} up through the levels."""
+    parts, last = [], start
+    for k in range(levels):
+        parts.append(
+            f"{out}{k} AS (SELECT w.* REPLACE (CASE WHEN s.more THEN sha256(s.lft || w.fold || s.rgt) ELSE w.fold END AS fold,"
+            f" w.beside || CASE WHEN s.more THEN s.lft || s.rgt ELSE '' END AS beside, w.r // 8 AS r)"
+            f" FROM {last} w JOIN {prefix}{k}s s ON s.grp = w.grp AND s.r = w.r)"
+        )
+        last = f"{out}{k}"
+    return ",\n".join(parts)
+
+
+OP11 = f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('+' || lang, '') AS grp, {_leaf("text")} AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf("text")} END AS seen
+  FROM documents
+),
+d AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+         count(*) OVER (PARTITION BY grp) AS n
+  FROM leaves
+),
+a0 AS (SELECT grp, n, r, leaf AS h FROM d),
+{_tree("a", _LEVELS)},
+subroots AS (SELECT grp AS name, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS place FROM a{_LEVELS}),
+b0 AS (SELECT '' AS grp, (SELECT count(*) FROM subroots) AS n, place AS r, subroot AS h FROM subroots),
+{_tree("b", _TOP_LEVELS)},
+start AS (SELECT doc_id, leaf, grp, r, seen AS fold, '' AS beside FROM d),
+{_way("start", "a", _LEVELS, "u")},
+middle AS (
+  SELECT u.doc_id, u.leaf, s.subroot, '' AS grp, s.place AS r, u.fold, u.beside
+  FROM u{_LEVELS - 1} u JOIN subroots s ON s.name = u.grp
+),
+{_way("middle", "b", _TOP_LEVELS, "v")}
+SELECT v.doc_id, v.leaf, v.subroot, t.h AS root, sha256(v.beside) AS proof_sha256, v.fold AS folded_root,
+       v.fold = t.h AS verified
+FROM v{_TOP_LEVELS - 1} v CROSS JOIN b{_TOP_LEVELS} t
+"""
+
+OP13 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang),
+spans AS (
+  SELECT lang, k.k AS k, array_to_string(list_slice(w, i.i, i.i + k.k - 1), ' ') AS phrase
+  FROM cut, (SELECT unnest(range(1, 5)) AS k) k, unnest(range(1, len(w) - k.k + 2)) AS i(i)
+),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM spans GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, {SCORE_SCALE} * c.a // (x.f + y.f) AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY {SCORE_SCALE} * c.a // (x.f + y.f), j.j) AS place
+  FROM cand c, unnest(range(1, c.k)) AS j(j)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, j.j), ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, j.j + 1, c.k), ' ')
+),
+held AS (
+  SELECT c.lang, array_to_string(list_slice(c.w, i.i, i.i + s.s - 1), ' ') AS phrase, max(c.a) AS most
+  FROM cand c, unnest(range(2, c.k)) AS s(s), unnest(range(1, c.k - s.s + 2)) AS i(i)
+  GROUP BY ALL
+),
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank
+  FROM cuts c LEFT JOIN held h ON h.lang = c.lang AND h.phrase = c.phrase
+  WHERE c.place = 1 AND (h.most IS NULL OR 100 * h.most < {NESTED_PERCENT} * c.a)
+)
+SELECT r.lang, r.rank::BIGINT AS rank, r.phrase, r.a::BIGINT AS a, r.l::BIGINT AS l, r.r::BIGINT AS r, t.n,
+       r.score::BIGINT AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= {TOP}
+"""
+
 ORACLES: dict[str, str] = {
     "op1_url_filter": OP1,
     "op2_chat_format": OP2,
     "op6_line_dedup": OP6,
     "op10_license_scan": _license_sql(),
+    "op11_merkle_manifest": OP11,
+    "op13_phrase_mining": OP13,
 }

@@ -13,11 +13,14 @@ from runsift.llm import (
     fingerprints,
     licenses,
     line_dedup,
+    merkle,
     packing,
+    phrases,
     quality,
     simhash_dedup,
     token_files,
     url_filter,
+    weak_rules,
 )
 from runsift.llm.common import table
 from runsift.session import scratch_path
@@ -94,6 +97,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_rules.judged(table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,5 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_dedup,
         op9_decontamination,
         op10_license_scan,
+        op11_merkle_manifest,
+        op12_quality_rules,
+        op13_phrase_mining,
     )
 }
