@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from runsift.llm import decontaminate, line_dedup, packing, quality, shingle_dedup
+from runsift.llm import decontaminate, line_dedup, packing, quality, simhash_dedup
 from runsift.llm.common import table
 from runsift.session import written
 
@@ -24,8 +24,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return shingle_dedup.one_of_each(docs)
+    """One document of each group whose SimHash fingerprints (3-word shingles) link at 3 differing bits or fewer."""
+    return simhash_dedup.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
