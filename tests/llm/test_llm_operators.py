@@ -20,12 +20,12 @@ from runsift.llm import (
     packing,
     quality,
     registered,
-    shingle_dedup,
     simhash_dedup,
     token_files,
     tokens,
     url_filter,
 )
+from runsift.llm.common import table
 from runsift.llm.components import components
 from runsift.session import scratch_path, written
 
@@ -265,6 +265,21 @@ def test_block_tables_find_all_within_radius(spark):
 # 5. Token files
 
 
+@pytest.mark.parametrize("memory", [None, 2000])
+def test_ids_of_whole_texts(spark, sf, monkeypatch, memory):
+    """All texts of a table, also with a memory so small that most chunks are forgotten and learnt again."""
+    from tokenizers import Tokenizer
+
+    if memory:
+        monkeypatch.setattr(tokens, "MEMO_CHUNKS", memory)
+    texts = [r.text or "" for r in table(spark, sf, "documents").collect()]
+    own = Tokenizer.from_file(tokens.vocabulary_path()).encode_batch(texts, add_special_tokens=False)
+    encoder, got = tokens.TextEncoder(tokens.vocabulary_path()), []
+    for begin in range(0, len(texts), 20):
+        got += encoder.ids(texts[begin : begin + 20], end_id=None)
+    assert [g.tolist() for g in got] == [e.ids for e in own]
+
+
 def test_token_files(spark, docs, rows, no_docs):
     path = scratch_path(spark, "test-tokens")
     token_files.write_tokens(docs, path)
@@ -407,41 +422,6 @@ def test_trie_join_finds_every_link(spark, subtree_rows):
     assert [roots.get(s, s) for s in signed] == want
 
 
-def edited_copies():
-    """Texts, copies at all similarities to them, texts of other words with one passage, short ones."""
-    rng = np.random.default_rng(8)
-    texts = []
-    for n in (9, 30, 60, 200):
-        base = [f"w{i}" for i in rng.integers(0, 5000, n)]
-        for edits in (0, 1, 1, 2, 3, 4, 6):
-            own = list(base)
-            for at in rng.integers(0, n, edits):
-                own[at] = f"x{rng.integers(1000)}"
-            texts.append(" ".join(own))
-    passage = " ".join(f"p{i}" for i in range(20))
-    texts += [f"{passage} " + " ".join(f"v{i}" for i in rng.integers(0, 5000, 30)) for _ in range(30)]
-    return [*texts, "", None, "one", "ONE", "one two", PROSE, PROSE.upper() + " now"]
-
-
-@pytest.mark.parametrize("heavy_rows", [64, 3])
-def test_near_copies_are_all_pairs_of_five_word_shingles(spark, heavy_rows):
-    rows = list(enumerate(edited_copies()))
-    grams = []
-    for _, text in rows:
-        words = brute.words(text)
-        grams.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    least = list(range(len(rows)))
-    for _ in rows:
-        for i, a in enumerate(grams):
-            for j, b in enumerate(grams):
-                if a == b or len(a & b) >= 0.8 * len(a | b):
-                    least[i] = min(least[i], least[j])
-    got = shingle_dedup.one_of_each(docs_of(spark, rows), heavy_rows=heavy_rows).collect()
-    assert sorted(r.doc_id for r in got) == sorted(set(least))
-    # Fingerprints 3 bits apart are too few.
-    assert len(got) < simhash_dedup.one_of_each(docs_of(spark, rows)).count()
-
-
 def test_components_of_a_long_path(spark):
     links = spark.range(1, 60).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
     assert {r.root for r in components(links).collect()} == {0}
