@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from runsift.llm.common import batch_bytes, text_or_empty
 from runsift.llm.rolling import Block
+from runsift.llm.tokens import give_back
 from runsift.session import broadcast_if_small, written
 
 MAX_WORDS = 4
@@ -46,7 +47,7 @@ SCORE_SCALE = 2_000_000
 TOP = 2000
 UNKNOWN_LANG = "und"
 # Bytes of text a task hashes at once (one text at least), and of an Arrow batch.
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 # Bits of the second hash: their sum over all occurrences stays within 63 bits.
 CHECK_BITS = 20
 # Bits of the bitmap of frequent fingerprints: so many for each, within these powers of two.
@@ -65,12 +66,13 @@ def prepared(docs: DataFrame) -> DataFrame:
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, pa.RecordBatch]]:
     """Batches in blocks of about BLOCK_BYTES; a longer text is a block of its own."""
     for batch in batches:
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch["text"].to_pylist()]
+        texts = batch["text"].cast(pa.binary()).to_pylist()
         at = np.cumsum([len(t) for t in texts]) // BLOCK_BYTES
         edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(texts)] if texts else []
         seeds = batch["seed"].to_numpy().view(np.uint64)
         for begin, end in zip(edges, edges[1:], strict=False):
             yield Block(texts[begin:end], seeds[begin:end]), batch.slice(begin, end - begin)
+        give_back()
 
 
 def _among(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:

@@ -9,6 +9,7 @@ low ones.
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 
@@ -16,6 +17,8 @@ _ONE = np.uint64(1)
 # Bases of the byte and the word polynomials: two independent pairs. Any odd numbers do.
 BASES = ((0x9E3779B97F4A7C15, 0xD1342543DE82EF95), (0xC2B2AE3D27D4EB4F, 0xF1357AEA2E62A9C5))
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+# Bytes of words whose prefix sums are held at once.
+SLICE_BYTES = 1 << 17
 SPACES = b" \t"
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 _WORD, _SPACE, _BREAK = 0, 1, 2
@@ -87,14 +90,19 @@ class Block:
         """A word's place in its text."""
         return np.arange(len(self.begins)) - self.first_word[self.text]
 
+    def _word_hashes(self, base: int) -> np.ndarray:
+        """A hash per word, from the polynomials of stretches of whole words: sums take eight times the bytes they are of."""
+        out = np.zeros(len(self.begins), np.uint64)
+        edges = np.flatnonzero(np.diff(self.begins // SLICE_BYTES, prepend=-1))
+        for first, last in itertools.pairwise([*edges.tolist(), len(out)]):
+            start = self.begins[first]
+            sums = prefix_sums(self.data[start : self.ends[last - 1]].astype(np.uint64) + _ONE, base)
+            out[first:last] = stretch(sums, self.begins[first:last] - start, self.ends[first:last] - start, base)
+        return mixed(out)
+
     @functools.cached_property
     def _sums(self) -> list[np.ndarray]:
-        out = []
-        for bytes_base, words_base in BASES:
-            sums = prefix_sums(self.data.astype(np.uint64) + _ONE, bytes_base)
-            words = mixed(stretch(sums, self.begins, self.ends, bytes_base))
-            out.append(prefix_sums(words, words_base))
-        return out
+        return [prefix_sums(self._word_hashes(of_bytes), of_words) for of_bytes, of_words in BASES]
 
     def windows(self, n: int) -> np.ndarray:
         """First words of all n-grams: n words within one piece."""
