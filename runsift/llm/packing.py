@@ -30,8 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsift.llm.common import batch_rows, text_or_empty, written_small
-from runsift.llm.tokens import BATCH_ROWS, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
+from runsift.llm.common import batch_bytes, text_or_empty, written_small
+from runsift.llm.tokens import BATCH_BYTES, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
 from runsift.session import written
 
 CAPACITY = 4096
@@ -65,7 +65,6 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VO
                         columns[name].append(value)
             yield pa.RecordBatch.from_pydict(columns, _PIECES_ARROW)
 
-    batch_rows(docs.sparkSession, BATCH_ROWS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     return rows.mapInArrow(cut, PIECES)
 
@@ -278,6 +277,7 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every document."""
-    pieces = written(token_pieces(docs, capacity, vocabulary, end_id), "token-pieces")
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        pieces = written(token_pieces(docs, capacity, vocabulary, end_id), "token-pieces")
     out = packed(pieces, capacity)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

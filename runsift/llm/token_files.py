@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runsift.llm.common import batch_rows, text_or_empty
-from runsift.llm.tokens import BATCH_ROWS, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
+from runsift.llm.common import batch_bytes, text_or_empty
+from runsift.llm.tokens import BATCH_BYTES, END_ID, VOCABULARY, crc32_of, encoder, vocabulary_path
 
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 20_000
 DICTIONARY_BYTES = 64 * 1024
@@ -41,7 +41,7 @@ LEVEL = 3
 # Payload after which a block is closed; a longer document makes a longer block of its own.
 BLOCK_BYTES = 1 << 20
 # Blocks in an Arrow batch when they are read.
-READ_BLOCKS = 4
+READ_BYTES = 4 << 20
 BLOCKS_SCHEMA = (
     "shard int, block int, dictionary_hash string, payload binary, doc_ids array<long>, offsets array<long>, "
     "lengths array<long>, starts array<long>, counts array<long>"
@@ -115,7 +115,6 @@ class _Block:
 def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_id: int = END_ID) -> None:
     """Encode every text and write a token folder. One shuffle, of the texts, brings them into order."""
     spark = docs.sparkSession
-    batch_rows(spark, BATCH_ROWS)
     dictionary = trained_dictionary(docs, vocabulary, end_id)
     name = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(name, dictionary)], "hash string, dictionary binary").write.parquet(f"{path}/dictionary")
@@ -134,8 +133,11 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end_i
             yield block.closed()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(blocks, BLOCKS_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
+    # One id may stand for any number of rows: their texts spread them.
+    spread = F.xxhash64("text")
+    rows = rows.repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", spread, "text")
+    with batch_bytes(spark, BATCH_BYTES):
+        rows.mapInArrow(blocks, BLOCKS_SCHEMA).write.option("compression", "none").parquet(f"{path}/blocks")
     stored = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{path}/blocks")
     zipped = F.arrays_zip("doc_ids", "offsets", "lengths", "starts", "counts")
     index = stored.select("shard", "block", F.inline(zipped)).withColumnsRenamed(
@@ -164,8 +166,6 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
     fields += [("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int64()))] * with_ids
     schema = pa.schema(fields)
 
-    batch_rows(spark, READ_BLOCKS)
-
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decompressor = _codec(shared.value)
         for batch in batches:
@@ -189,6 +189,10 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 
     kinds = "shard int, doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
     rows = spark.read.schema(BLOCKS_SCHEMA).parquet(f"{path}/blocks").mapInArrow(decoded, kinds)
+    if not with_ids:
+        # Digests are narrow; written here, their batches hold few blocks without the session's setting being changed.
+        with batch_bytes(spark, READ_BYTES):
+            rows = written(rows, "token-digests")
     shards = spark.read.parquet(f"{path}/shards").select("shard", F.col("start").alias("before"))
     rows = rows.join(F.broadcast(shards), "shard")
     return rows.select("doc_id", (F.col("start") + F.col("before")).alias("start"), *rows.columns[3:-1])

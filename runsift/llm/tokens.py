@@ -6,6 +6,7 @@ distinct chunk goes through the tokenizers library once per task; the ids of a t
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import zlib
@@ -18,11 +19,11 @@ import pyarrow.compute as pc
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-# Distinct chunks a worker remembers before it starts anew.
-MEMO_CHUNKS = 700_000
-# Texts in an Arrow batch.
-BATCH_ROWS = 1500
-# Bytes of text whose distinct chunks are looked up together.
+# Distinct chunks a worker remembers, and bytes of their letters, before it forgets those that one batch used.
+MEMO_CHUNKS, MEMO_BYTES = 600_000, 16 << 20
+# New chunks that go through the tokenizer together.
+LEARN_CHUNKS = 1 << 14
+# Bytes of text in an Arrow batch, and those whose distinct chunks are looked up together.
 BATCH_BYTES = 1 << 22
 # ASCII marks that may end a chunk; a run of them is a token group of its own.
 TAIL_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -56,15 +57,49 @@ class TextEncoder:
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._model = self._tokenizer.model
-        self._forget()
+        self._start()
 
-    def _forget(self) -> None:
-        self._chunks: dict[str, int] = {}
-        self._flat = np.zeros(0, np.uint32)
-        self._starts = np.zeros(1, np.int64)
+    def _start(self) -> None:
+        # Chunks by number, as Arrow strings: a Python object for each would take twenty times the memory.
+        self._known = pa.array([], pa.large_string())
+        self._flat = np.empty(1 << 18, np.uint32)
+        # Where a chunk's ids begin, and in how many batches it was seen.
+        self._starts = np.zeros(1 << 16, np.int64)
+        self._uses = np.zeros(1 << 16, np.uint32)
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _forget(self) -> None:
+        """Keep chunks of several batches, at most the newer half of the memory."""
+        known, uses = self._known, self._uses[: len(self._known)]
+        kept = np.flatnonzero(uses > 1)[-(len(known) // 2) :]
+        uses, flat, sizes = uses[kept], *self._gathered(kept)
+        self._start()
+        self._add(known.take(pa.array(kept)), flat, sizes)
+        self._uses[: len(kept)] = np.maximum(uses // 2, 1)
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some chunks one after the other, and how many each has."""
+        begins = self._starts[numbers]
+        sizes = self._starts[numbers + 1] - begins
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self._flat[np.arange(total) + np.repeat(begins - ends + sizes, sizes)], sizes
+
+    def _add(self, chunks: pa.Array, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Number new chunks in order; their ids go behind those known. Arrays grow where they are."""
+        known = len(self._known)
+        first, total = int(self._starts[known]), known + len(chunks)
+        if total >= len(self._starts):
+            for values in (self._starts, self._uses):
+                values.resize(total + total // 4 + 1, refcheck=False)
+        if first + len(flat) > len(self._flat):
+            self._flat.resize((first + len(flat)) * 5 // 4, refcheck=False)
+        self._flat[first : first + len(flat)] = flat
+        self._starts[known + 1 : total + 1] = first + np.cumsum(sizes)
+        self._known = pa.concat_arrays([self._known, chunks])
+
+    def _learn(self, new: pa.Array) -> None:
         """Give new chunks numbers, in order, and store their ids behind those known."""
+        chunks = new.to_pylist()
         split = [_pieces_of(chunk) for chunk in chunks]
         # Words with different marks behind them share their pieces; those are kept for this batch only.
         pieces: dict[str, bytes] = {}
@@ -81,17 +116,16 @@ class TextEncoder:
             pieces[piece] = array("I", encoding.ids).tobytes()
         found = [pieces[parts[0]] if len(parts) == 1 else pieces[parts[0]] + pieces[parts[1]] for parts in split]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        self._chunks.update(zip(chunks, range(len(self._chunks), len(self._chunks) + len(chunks)), strict=True))
-        self._flat = np.concatenate([self._flat, np.frombuffer(b"".join(found), np.uint32)])
-        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        self._add(new, np.frombuffer(b"".join(found), np.uint32), sizes)
 
-    def _numbers(self, distinct: list[str]) -> np.ndarray:
-        lookup = self._chunks.get
-        numbers = np.fromiter((lookup(chunk, -1) for chunk in distinct), np.int64, len(distinct))
+    def _numbers(self, distinct: pa.Array) -> np.ndarray:
+        found = pc.index_in(distinct, value_set=self._known)
+        numbers = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
         new = np.flatnonzero(numbers < 0)
-        if len(new):
-            numbers[new] = len(self._chunks) + np.arange(len(new))
-            self._learn([distinct[i] for i in new.tolist()])
+        numbers[new] = len(self._known) + np.arange(len(new))
+        for begin in range(0, len(new), LEARN_CHUNKS):
+            self._learn(distinct.take(pa.array(new[begin : begin + LEARN_CHUNKS])))
+        self._uses[numbers] += 1
         return numbers
 
     def ids(self, texts: pa.Array | list[str | None], end_id: int | None = END_ID) -> Iterator[np.ndarray]:
@@ -101,28 +135,32 @@ class TextEncoder:
         edges = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(texts)] if len(texts) else []
         for begin, end in zip(edges, edges[1:], strict=False):
             yield from self._batch(texts.slice(begin, end - begin), end_id)
+        give_back()
 
     def _batch(self, texts: pa.Array, end_id: int | None) -> Iterator[np.ndarray]:
         chunks = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = pc.dictionary_encode(chunks.flatten())
-        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        numbers = self._numbers(coded.dictionary.cast(pa.large_string()))[coded.indices.to_numpy()]
         # Per text: its chunks' ids one after the other, copied by index.
         edges = chunks.offsets.to_numpy() - chunks.offsets[0].as_py()
         for begin, end in zip(edges.tolist(), edges[1:].tolist(), strict=False):
-            own = numbers[begin:end]
-            begins = self._starts[own]
-            sizes = self._starts[own + 1] - begins
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = np.empty(total + (end_id is not None), np.uint32)
-            ids[:total] = self._flat[np.arange(total) + np.repeat(begins - ends + sizes, sizes)]
+            found, _ = self._gathered(numbers[begin:end])
+            ids = np.empty(len(found) + (end_id is not None), np.uint32)
+            ids[: len(found)] = found
             if end_id is not None:
-                ids[total] = end_id
+                ids[-1] = end_id
             yield ids
-        if len(self._chunks) > MEMO_CHUNKS:
+        if len(self._known) > MEMO_CHUNKS or self._known.nbytes > MEMO_BYTES:
             self._forget()
 
 
+def give_back() -> None:
+    """Return freed memory to the system where the C library can; a worker lives on after its task, beside others."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> TextEncoder:
     """One encoder per worker process and vocabulary file; Arrow's freed memory goes back to the system there."""
