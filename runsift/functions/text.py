@@ -13,6 +13,8 @@ from runsift.schemas import MAX_TOKEN_CHARS, QUERY_PIECE, SPECIAL_CHARS, TOKEN,
 # Logs above this size are cut into lines before they are tokenised, so no row holds a huge array; only for tokenizers
 # whose tokens never reach over a line end.
 CHUNK_BYTES = 1 << 20
+# A block of lines has at least so many characters.
+BLOCK_CHARS = 1 << 16
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -64,6 +66,16 @@ def chunks(text: Column, line_safe: bool = True) -> Column:
     )
 
 
+def blocks(text: Column, line_safe: bool = True) -> Column:
+    """As `chunks`, but in runs of lines of BLOCK_CHARS or more: few enough to be counted one against another."""
+    if not line_safe:
+        return F.array(text)
+    lines = F.lit(rf"(?s:.{{{BLOCK_CHARS}}})[^\n]*\n[^{WORD_CHARS}]*|(?s:.+)")
+    return F.when(F.octet_length(text) <= CHUNK_BYTES, F.array(text)).otherwise(
+        F.regexp_extract_all(text, lines, F.lit(0))
+    )
+
+
 def pieces(text: Column) -> Column:
     """Cut text into tokens and the gaps between them; joined, the pieces give the text again."""
     piece = F.lit(f"{TOKEN}|[^{WORD_CHARS}]+")

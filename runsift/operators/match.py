@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from runsift.operators.queryterms import JOB, MUST, MUST_NOT, SHOULD
 from runsift.schemas import BM25_B, BM25_K1, KEY, SCORE_DECIMALS, TOKEN
 from runsift.session import BROADCAST_LIMIT_BYTES
-from runsift.sources.index_tables import SearchIndex, term_part
+from runsift.sources.index_tables import DIRECTORY_WORDS, SearchIndex, holding, term_part
 
 # Bytes one query term takes as a broadcast row, hash table overhead included.
 _TERM_ROW_BYTES = 160
@@ -47,20 +47,26 @@ def term_weight(tf: Column, dl: Column, avg_len: Column) -> Column:
     return tf / (tf + BM25_K1 * (1 - BM25_B + BM25_B * dl / avg_len))
 
 
-def asked_words(terms: DataFrame, small: bool) -> list[str] | None:
-    """The words of a counted small query table if they are few; then scans skip what holds none of them.
-
-    The bound is the number of values that Parquet filters test one by one.
-    """
+def asked_words(terms: DataFrame, small: bool, column: str = "term") -> list[str] | None:
+    """The words of a counted small query table if they are few enough for the index's directory; then
+    scans read only pages that may hold one of them."""
     if not small:
         return None
-    most = int(terms.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
-    found = [row.term for row in terms.select("term").distinct().limit(most + 1).collect()]
-    return found if len(found) <= most else None
+    found = [row[0] for row in terms.select(column).distinct().limit(DIRECTORY_WORDS + 1).collect()]
+    return found if len(found) <= DIRECTORY_WORDS else None
 
 
-def _holding(rows: DataFrame, words: list[str] | None) -> DataFrame:
-    return rows if words is None else rows.where(F.col("term").isin(*words) if words else F.lit(False))
+def known_terms(
+    terms: DataFrame, index: SearchIndex, small: bool, words: list[str] | None = None
+) -> DataFrame:
+    """Add df, the documents with a term in a field; terms that occur nowhere drop out."""
+    asked = F.broadcast(terms) if small else terms
+    parts = [holding(p, "term", words).join(asked, ["tp", "field", "term"]) for p in index.term_stat_parts()]
+    found = reduce(DataFrame.unionByName, parts)
+    if len(parts) > 1:
+        same = [c for c in found.columns if c != "df"]
+        found = found.groupBy(*same).agg(F.sum("df").alias("df")).where("df > 0")
+    return found
 
 
 def weighted_terms(
@@ -70,14 +76,7 @@ def weighted_terms(
     placed = terms
     if "tp" not in terms.columns:
         placed = terms.withColumn("tp", term_part(F.col("term"), index.term_parts))
-    placed = placed.where("term != ''")
-    asked = F.broadcast(placed) if small else placed
-    parts = [_holding(p, words).join(asked, ["tp", "field", "term"]) for p in index.term_stat_parts()]
-    found = reduce(DataFrame.unionByName, parts)
-    if len(parts) > 1:
-        same = [c for c in found.columns if c != "df"]
-        found = found.groupBy(*same).agg(F.sum("df").alias("df")).where("df > 0")
-    return with_weights(found, index)
+    return with_weights(known_terms(placed.where("term != ''"), index, small, words), index)
 
 
 def with_weights(terms: DataFrame, index: SearchIndex) -> DataFrame:
@@ -103,7 +102,7 @@ def term_hits(
     on = ["tp", "field", "term"]
     asked = weighted.where("term != ''")
     asked = F.broadcast(asked) if small else asked
-    parts = [_holding(p, words).join(asked, on) for p in index.posting_parts()]
+    parts = [holding(p, "term", words).join(asked, on) for p in index.posting_parts()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runsift.functions.text import Tokenizer, chunks, tokens
+from runsift.functions.text import Tokenizer, blocks, tokens
 from runsift.schemas import KEY
 
 POSTING = [*KEY, "field", "term"]
@@ -19,35 +19,51 @@ def field_text(docs: DataFrame, keys: Iterable[str]) -> DataFrame:
 
 
 def token_rows(
-    texts: DataFrame, exact: Iterable[str] = (), tokenizer: Tokenizer = tokens
+    texts: DataFrame,
+    exact: Iterable[str] = (),
+    tokenizer: Tokenizer = tokens,
+    carried: Iterable[str] = (),
 ) -> DataFrame:
-    """(project, number, field, n_tokens, term): one row per token; an exact field is one token.
+    """(project, number, field, carried, n_tokens, term, pos): one row per token; an exact field is one token.
 
-    ``texts`` is (project, number, field, text). n_tokens is the token count of the whole text.
-    Large texts are tokenised chunk by chunk, twice, so that their tokens are never held at once; an
-    exact field, or a tokenizer that is not line-safe, always sees the whole text.
+    ``texts`` is (project, number, field, text) and carried columns. n_tokens is the token count of the whole text, pos
+    the token's place in it from 0. Large texts are tokenised chunk by chunk, twice, so that their
+    tokens are never held at once; an exact field, or a tokenizer that is not line-safe, always sees
+    the whole text.
     """
     whole_text = F.col("field").isin(*exact)
-    cut = F.when(whole_text, F.array("text")).otherwise(chunks(F.col("text"), tokenizer.line_safe))
+    cut = F.when(whole_text, F.array("text")).otherwise(blocks(F.col("text"), tokenizer.line_safe))
 
     def found_in(chunk: Column) -> Column:
         whole = F.when(chunk != "", F.array(chunk)).otherwise(F.array().cast("array<string>"))
         return F.when(whole_text, whole).otherwise(tokenizer(chunk))
 
-    n_chunked = F.when(
-        F.size("chunks") != 1,
-        F.aggregate("chunks", F.lit(0), lambda n, chunk: n + F.size(found_in(chunk))),
+    def summed(sizes: Column) -> Column:
+        return F.aggregate(sizes, F.lit(0).cast("bigint"), lambda n, size: n + size)
+
+    sizes = F.when(F.size("chunks") != 1, F.transform("chunks", lambda c: F.size(found_in(c))))
+    # Tokens before each chunk; only texts of many chunks have them counted first.
+    before = F.coalesce(
+        F.transform("sizes", lambda _, i: summed(F.slice("sizes", F.lit(1), i))),
+        F.array(F.lit(0).cast("bigint")),
     )
+    own = [*KEY, "field", *carried]
     return (
-        texts.select(*KEY, "field", cut.alias("chunks"))
-        .select(*KEY, "field", n_chunked.alias("n_chunked"), F.explode("chunks").alias("chunk"))
-        .select(*KEY, "field", "n_chunked", found_in(F.col("chunk")).alias("found"))
+        texts.select(*own, cut.alias("chunks"))
+        .select(*own, "chunks", sizes.alias("sizes"))
         .select(
-            *KEY,
-            "field",
+            *own,
+            summed(F.col("sizes")).alias("n_chunked"),
+            F.explode(F.arrays_zip(F.col("chunks").alias("text"), before.alias("base"))).alias("chunk"),
+        )
+        .select(*own, "n_chunked", "chunk.base", found_in(F.col("chunk.text")).alias("found"))
+        .select(
+            *own,
             F.coalesce("n_chunked", F.size("found")).cast("bigint").alias("n_tokens"),
-            F.explode("found").alias("term"),
+            "base",
+            F.posexplode("found").alias("i", "term"),
         )
+        .select(*own, "n_tokens", "term", (F.col("base") + F.col("i")).alias("pos"))
     )
 
 
@@ -56,6 +72,11 @@ def without_stop_words(rows: DataFrame, stop_words: DataFrame | None = None) ->
     return rows if stop_words is None else rows.join(stop_words.distinct(), "term", "left_anti")
 
 
+def _places() -> Column:
+    """The places of a term in its text, ascending. Stored, their differences are what takes space."""
+    return F.array_sort(F.collect_list("pos")).alias("pos")
+
+
 def postings(
     docs: DataFrame,
     keys: Iterable[str],
@@ -64,17 +85,19 @@ def postings(
     stop_words: DataFrame | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """(project, number, field, term, tf, dl).
+    """(project, number, field, term, tf, dl, pos).
 
-    Documents are spread by key once; counting reuses that partitioning.
+    Documents are spread by key once; counting reuses that partitioning. Stop words leave gaps
+    between the places of the other words.
     """
     spread = docs.repartition(partitions, *KEY) if partitions else docs.repartition(*KEY)
     rows = token_rows(field_text(spread, keys), exact, tokenizer)
     tf = F.count(F.lit(1)).alias("tf")
     if stop_words is None:
-        return rows.groupBy(*POSTING).agg(tf, F.max("n_tokens").alias("dl"))
-    counted = without_stop_words(rows, stop_words).groupBy(*POSTING).agg(tf)
-    return counted.withColumn("dl", F.sum("tf").over(Window.partitionBy(*KEY, "field")))
+        return rows.groupBy(*POSTING).agg(tf, F.max("n_tokens").alias("dl"), _places())
+    counted = without_stop_words(rows, stop_words).groupBy(*POSTING).agg(tf, _places())
+    dl = F.sum("tf").over(Window.partitionBy(*KEY, "field"))
+    return counted.select(*POSTING, "tf", dl.alias("dl"), "pos")
 
 
 def piece_postings(
@@ -83,12 +106,14 @@ def piece_postings(
     """Postings of fields whose text comes in many rows (project, number, field, text).
 
     The pieces are counted before they are brought together, so one run with very many of them is
-    neither joined into one string nor tokenised in one task.
+    neither joined into one string nor tokenised in one task. Pieces have no order: each has places
+    of its own, by the hash of its text, so a phrase never reaches from one into another.
     """
-    counted = (
-        token_rows(pieces, exact, tokenizer).groupBy(*POSTING).agg(F.count(F.lit(1)).alias("tf"))
-    )
-    return counted.join(doc_lengths(counted), [*KEY, "field"])
+    apart = F.shiftleft(F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)), 32).alias("apart")
+    found = token_rows(pieces.select(*KEY, "field", "text", apart), exact, tokenizer, ["apart"])
+    placed = found.select(*POSTING, (F.col("apart") + F.col("pos")).alias("pos"))
+    counted = placed.groupBy(*POSTING).agg(F.count(F.lit(1)).alias("tf"), _places())
+    return counted.join(doc_lengths(counted), [*KEY, "field"]).select(*POSTING, "tf", "dl", "pos")
 
 
 def term_stats(posting_rows: DataFrame) -> DataFrame:
@@ -113,16 +138,5 @@ def field_stats(posting_rows: DataFrame) -> DataFrame:
 
 def positions(docs: DataFrame, keys: Iterable[str], tokenizer: Tokenizer = tokens) -> DataFrame:
     """(project, number, field, term, pos): token positions counted through the whole text."""
-    parts = field_text(docs.repartition(*KEY), keys).select(
-        *KEY, "field", F.posexplode(chunks(F.col("text"), tokenizer.line_safe)).alias("chunk_no", "chunk")
-    )
-    found = parts.select(*KEY, "field", "chunk_no", tokenizer(F.col("chunk")).alias("found"))
-    before = (
-        Window.partitionBy(*KEY, "field")
-        .orderBy("chunk_no")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    based = found.withColumn("base", F.coalesce(F.sum(F.size("found")).over(before), F.lit(0)))
-    return based.select(*KEY, "field", "base", F.posexplode("found").alias("i", "term")).select(
-        *KEY, "field", "term", (F.col("base") + F.col("i")).alias("pos")
-    )
+    rows = token_rows(field_text(docs.repartition(*KEY), keys), (), tokenizer)
+    return rows.select(*KEY, "field", "term", "pos")

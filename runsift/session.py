@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Bytes of driver-side and per-executor memory that a broadcast table may take.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+# Spark gives a table without statistics a size beyond this.
+_UNKNOWN_BYTES = 1 << 60
 
 
 @functools.lru_cache(maxsize=None)
@@ -50,10 +52,13 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def source_bytes(df: DataFrame) -> int:
-    """Bytes of the tables a DataFrame reads, from the optimizer's statistics; nothing is scanned."""
+    """Bytes of the tables a DataFrame reads, from the optimizer's statistics; nothing is scanned.
+
+    What has no statistics (rows made in the session) counts as nothing.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    return sum(int(str(size)) for size in sizes)
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> bool:

@@ -1,12 +1,17 @@
 """The stored search tables: postings and their statistics.
 
 Postings are partitioned by a hash of the term, so a search reads only the term partitions of its
-words, and bucketed by document, so everything computed per document needs no shuffle.
+words, and bucketed by document, so everything computed per document needs no shuffle. In each file
+they are sorted by term in small pages whose first and last term Parquet keeps: the sparse directory
+by which a scan for listed words skips the pages that hold none of them. Positions stand beside each
+count, delta-coded by the file format; scans that do not ask for them do not read them.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -20,8 +25,53 @@ from runsift.schemas import KEY
 from runsift.session import broadcast_if_small, source_bytes, written
 
 
-# Stored input bytes per document bucket.
+# Stored input bytes per document bucket and per file that a build writes.
 BUCKET_BYTES = 64 * 1024 * 1024
+FILE_BYTES = 32 * 1024 * 1024
+# So many listed words are looked up in the directory of pages; Parquet compares them one by one.
+DIRECTORY_WORDS = 400
+# Rows of a page, bytes of a row group; positions as differences instead of a dictionary.
+_LAYOUT = {
+    "parquet.page.row.count.limit": "4000",
+    "parquet.block.size": str(32 * 1024 * 1024),
+    "parquet.writer.version": "v2",
+    "parquet.enable.dictionary#pos.list.element": "false",
+}
+# With more term parts than this a build brings each part together before it writes.
+_PARTS_A_TASK = 64
+# Length of the keys under which the terms of the vocabulary are found by their parts.
+GRAM = 3
+BEGIN, END = "\x02", "\x03"
+
+
+def grams(term: Column) -> Column:
+    """The distinct substrings of GRAM characters of a framed term: one begins at each of its characters."""
+    text = framed(term)
+    starts = F.sequence(F.lit(1), F.length(text) - GRAM + 1)
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(text, i, F.lit(GRAM))))
+
+
+def framed(term: Column) -> Column:
+    """A term between marks that no term holds, so that its beginning and end have grams of their own."""
+    return F.concat(F.lit(BEGIN), term, F.lit(END * (GRAM - 1)))
+
+
+def holding(rows: DataFrame, column: str, words: list[str] | None) -> DataFrame:
+    """Rows with one of the listed words; without a list, all."""
+    if words is None:
+        return rows
+    return rows.where(F.col(column).isin(*words) if words else F.lit(False))
+
+
+@functools.lru_cache(maxsize=8)
+def _reading_session(spark: SparkSession, app_id: str) -> SparkSession:
+    """A session of the same application whose scans hand listed words down to Parquet, up to DIRECTORY_WORDS.
+
+    The setting belongs to the session that opens a table; the caller's session keeps its own.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", str(DIRECTORY_WORDS))
+    return own
 
 
 def term_part(term: Column, parts: int) -> Column:
@@ -65,14 +115,15 @@ class SearchIndex:
         that comes in many rows per run and is not part of ``docs``."""
         registry = registry or FieldRegistry()
         spark = docs.sparkSession
+        # Files in all; parts and buckets grow alike, so that a word's files are their square root.
+        files = source_bytes(docs) // FILE_BYTES
         if doc_buckets is None:
-            # As many as the data fills, up to the number that Spark allows a table.
             most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-            doc_buckets = min(most, max(8, source_bytes(docs) // BUCKET_BYTES))
+            doc_buckets = min(most, max(8, math.isqrt(files)))
         index = cls(
             spark,
             path,
-            term_parts or min(64, max(4, doc_buckets // 64)),
+            term_parts or max(4, math.isqrt(files)),
             doc_buckets,
             tuple(k for k in registry.default_keys if pieces is not None or k in docs.columns),
             tuple(k for k in registry.all_keys if k in docs.columns),
@@ -160,8 +211,8 @@ class SearchIndex:
         if not spark.catalog.tableExists(index._table):
             spark.sql(
                 f"CREATE TABLE {index._table} (project STRING, number BIGINT, field STRING,"
-                " term STRING, tf BIGINT, dl BIGINT, tp INT) USING parquet PARTITIONED BY (tp)"
-                f" CLUSTERED BY (project, number) SORTED BY (field, term)"
+                " term STRING, tf BIGINT, dl BIGINT, pos ARRAY<BIGINT>, tp INT) USING parquet"
+                " PARTITIONED BY (tp) CLUSTERED BY (project, number) SORTED BY (term, field)"
                 f" INTO {facts.doc_buckets} BUCKETS LOCATION '{path}/postings'"
             )
             spark.sql(f"ALTER TABLE {index._table} RECOVER PARTITIONS")
@@ -170,7 +221,7 @@ class SearchIndex:
     # -- what searches read ---------------------------------------------------------------------
 
     def posting_parts(self) -> list[DataFrame]:
-        """The postings of this index and its bases, each (project, number, field, term, tf, dl, tp).
+        """The postings of this index and its bases, each (project, number, field, term, tf, dl, pos, tp).
 
         Searches join each part by itself, so that each keeps its partitions and buckets.
         """
@@ -189,7 +240,7 @@ class SearchIndex:
 
     @property
     def postings(self) -> DataFrame:
-        """(project, number, field, term, tf, dl, tp)"""
+        """(project, number, field, term, tf, dl, pos, tp)"""
         return reduce(DataFrame.unionByName, self.posting_parts())
 
     @property
@@ -221,10 +272,14 @@ class SearchIndex:
 
     @property
     def _own_postings(self) -> DataFrame:
-        return self.spark.table(self._table)
+        return self._reader.table(self._table)
+
+    @property
+    def _reader(self) -> SparkSession:
+        return _reading_session(self.spark, self.spark.sparkContext.applicationId)
 
     def _read(self, part: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{part}")
+        return self._reader.read.schema(schema).parquet(f"{self.path}/{part}")
 
     def _length_sums(self) -> DataFrame:
         own = self._read("field_stats", "field string, n_docs bigint, sum_len bigint")
@@ -259,17 +314,22 @@ class SearchIndex:
         return self.base._stop_words() if self.base else self._read("stop_words", "term string")
 
     def _postings_of(self, docs: DataFrame) -> DataFrame:
-        return P.postings(
-            docs, self.all_keys, self.exact_keys, self.tokenizer, self._stop_words(), self.doc_buckets
-        )
+        """Documents are tokenised in tasks of BUCKET_BYTES, a multiple of the buckets, so that a task has one bucket."""
+        tasks = self.doc_buckets * max(1, math.ceil(source_bytes(docs) / BUCKET_BYTES / self.doc_buckets))
+        return P.postings(docs, self.all_keys, self.exact_keys, self.tokenizer, self._stop_words(), tasks)
 
     def _store_postings(self, rows: DataFrame) -> None:
+        placed = rows.withColumn("tp", term_part(F.col("term"), self.term_parts))
+        if self.term_parts > _PARTS_A_TASK:
+            # Many parts: a part's rows of one bucket meet in one task and become one file.
+            bucket = F.pmod(F.hash(*KEY), F.lit(self.doc_buckets))
+            placed = placed.repartition(self.term_parts * self.doc_buckets, "tp", bucket)
         (
-            rows.withColumn("tp", term_part(F.col("term"), self.term_parts))
-            .select(*KEY, "field", "term", "tf", "dl", "tp")
+            placed.select(*KEY, "field", "term", "tf", "dl", "pos", "tp")
             .write.partitionBy("tp")
             .bucketBy(self.doc_buckets, *KEY)
-            .sortBy("field", "term")
+            .sortBy("term", "field")
+            .options(**_LAYOUT)
             .option("path", f"{self.path}/postings")
             .saveAsTable(self._table)
         )
@@ -285,10 +345,12 @@ class SearchIndex:
             .where("df != 0")
             .withColumn("tp", term_part(F.col("term"), self.term_parts))
             .repartition("tp", F.pmod(F.xxhash64("field", "term"), F.lit(16)))
-            .sortWithinPartitions("tp", "field", "term")
+            .sortWithinPartitions("tp", "term", "field")
             .write.partitionBy("tp")
+            .options(**_LAYOUT)
             .parquet(f"{self.path}/term_stats")
         )
+        self._store_grams()
         (
             rows.groupBy(*KEY, "field", "sign")
             .agg(F.max("dl").alias("dl"))
@@ -301,6 +363,28 @@ class SearchIndex:
         )
         jobs.write.parquet(f"{self.path}/jobs")
 
+    def _store_grams(self) -> None:
+        """(gram, term, field): the vocabulary under its parts, sorted so that a gram's terms stand in few pages.
+
+        An update stores those of its own terms; who reads adds up the layers and asks the statistics
+        whether a term still has documents.
+        """
+        own = self._read("term_stats", "field string, term string, df bigint, tp int")
+        found = own.where("df > 0").select(F.explode(grams(F.col("term"))).alias("gram"), "term", "field")
+        # A gram of very many terms is spread by them.
+        (
+            found.repartition("gram", F.pmod(F.xxhash64("term"), F.lit(8)))
+            .sortWithinPartitions("gram", "term")
+            .write.options(**_LAYOUT)
+            .parquet(f"{self.path}/grams")
+        )
+
+    @property
+    def grams(self) -> DataFrame:
+        """(gram, term, field) of this index and its bases; a term may stand in several."""
+        own = self._read("grams", "gram string, term string, field string")
+        return own if self.base is None else self.base.grams.unionByName(own)
+
     def _store_facts(self) -> None:
         def listed(keys: tuple[str, ...]) -> Column:
             return F.array(*[F.lit(k) for k in keys]).cast("array<string>")
