@@ -305,6 +305,19 @@ _TESTS = """texts AS (
 
 _WILD_SHAPES = ("{w3}", "{w4}", "{w5}", "{w4}")
 
+
+def _piece_terms(which: str) -> str:
+    """Postings and tokens per term of the failed tests of some runs."""
+    return (
+        _with(_TESTS)
+        + f"""SELECT 'unittest' AS field, term, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens,
+        count(*) AS df FROM (
+        SELECT number, term, count(*) AS tf FROM (
+          SELECT number, unnest({_parts('u')}) AS term FROM texts WHERE {which})
+        GROUP BY number, term) GROUP BY term"""
+    )
+
+
 ORACLES: dict[str, str] = {
     "extract_fields": _with(_DOCS) + "SELECT project, number, j, n, d, p, md5(c) AS c_md5 FROM docs",
     "parameter_text": """SELECT doc_id AS number,
@@ -343,12 +356,8 @@ ORACLES: dict[str, str] = {
     "update_with_stop_words": _with(_DOCS, _TOKS)
     + f"""SELECT field, term, count(DISTINCT (project, number)) AS df FROM toks
       WHERE term NOT IN (SELECT unnest({_parts('text')}) FROM benchmark) GROUP BY field, term""",
-    "update_with_pieces": _with(_TESTS)
-    + f"""SELECT 'unittest' AS field, term, count(*) AS n_postings, CAST(sum(tf) AS BIGINT) AS n_tokens,
-        count(*) AS df FROM (
-        SELECT number, term, count(*) AS tf FROM (
-          SELECT number, unnest({_parts('u')}) AS term FROM texts WHERE number % 3 <> 0)
-        GROUP BY number, term) GROUP BY term""",
+    "update_with_pieces": _piece_terms("true"),
+    "update_keeps_pieces": _piece_terms("number % 3 <> 0"),
     "index_pieces": _with(_TESTS)
     + f"""SELECT project, number, field, count(*) AS n_terms, CAST(sum(tf) AS BIGINT) AS n_tokens,
         CAST(sum(tf) AS BIGINT) AS dl FROM (
@@ -509,6 +518,14 @@ ORACLES: dict[str, str] = {
           SELECT 'unittest' AS field, number, unnest({_parts('u')}) AS term FROM texts
           UNION ALL SELECT 'artifact', number, unnest({_parts('a')}) FROM texts)
         GROUP BY ALL) GROUP BY field""",
+    "ext_failing_rows": _with(_DOCS)
+    + """SELECT project, number, p, CASE WHEN length(c) % 3 <> 0 THEN md5(upper(c)) END AS some_md5,
+        CASE WHEN length(c) % 3 = 0 THEN 'ValueError' END AS some_error, NULL AS broken,
+        true AS broken_has_error FROM docs""",
+    "ext_failing_report": _with(_DOCS)
+    + """SELECT 'some' AS keyword, count_if(length(c) % 3 <> 0)::BIGINT AS n_texts,
+        count_if(length(c) % 3 = 0)::BIGINT AS n_failed, false AS failed FROM docs
+      UNION ALL SELECT 'broken', 0, 0, true""",
     "artifact_patterns": r"""SELECT page_id, path FROM (
         SELECT page_id, regexp_replace(url, '^https?://', '') AS path FROM pages)
       WHERE (regexp_matches(path, '^([^/]+/)*en/[^/]*$') OR regexp_matches(path, '^[^/]*\.example\.org(/.*)?$'))
@@ -546,3 +563,6 @@ ORACLES: dict[str, str] = {
     + """SELECT project, number, seq, op FROM lastop
       UNION ALL SELECT project, NULL, deleted_seq, 'job_deleted' FROM gone""",
 }
+# The documents of the time decide, whatever the index held before.
+ORACLES["phrase_after_update"] = ORACLES["phrase_match"]
+ORACLES["wildcard_after_update"] = ORACLES["wildcard_match"]

@@ -187,18 +187,37 @@ def update_with_stop_words(spark, sf):
     return stale.update(old, now, scratch_path(spark, "update")).term_stats.select("field", "term", "df")
 
 
+def _test_pieces(spark, sf, text):
+    tests = A.failed_tests(spark, sf)
+    return tests.select(*KEY, F.lit("unittest").alias("field"), text.alias("text"))
+
+
+def _whole_test():
+    return F.concat(F.col("title"), F.lit("\n"), F.col("error_details"))
+
+
+def _piece_terms(index):
+    found = index.postings.where("field = 'unittest'").groupBy("field", "term")
+    counted = found.agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
+    return counted.join(index.term_stats.drop("tp"), ["field", "term"])
+
+
 def update_with_pieces(spark, sf):
+    """Text that comes in many rows, changed and new, takes the place of what its runs had."""
+    old, now = _old_documents(spark, sf), documents(spark, sf)
+    stale_text = _test_pieces(spark, sf, F.concat(F.lit("stale "), F.col("title")))
+    stale_text = stale_text.join(old.select(*KEY), KEY, "left_semi")
+    stale = SearchIndex.build(old, scratch_path(spark, "stale"), _unittest_registry(), pieces=stale_text)
+    pieces = _test_pieces(spark, sf, _whole_test())
+    return _piece_terms(stale.update(old, now, scratch_path(spark, "update"), pieces))
+
+
+def update_keeps_pieces(spark, sf):
     """Text that comes in many rows stays with its runs when their documents are replaced."""
-    tests = A.failed_tests(spark, sf)
-    text = F.concat(F.col("title"), F.lit("\n"), F.col("error_details"))
-    pieces = tests.select(*KEY, F.lit("unittest").alias("field"), text.alias("text"))
     old, now = _old_documents(spark, sf), documents(spark, sf)
-    pieces = pieces.join(old.select(*KEY), KEY, "left_semi")
+    pieces = _test_pieces(spark, sf, _whole_test()).join(old.select(*KEY), KEY, "left_semi")
     stale = SearchIndex.build(old, scratch_path(spark, "stale"), _unittest_registry(), pieces=pieces)
-    updated = stale.update(old, now, scratch_path(spark, "update"))
-    found = updated.postings.where("field = 'unittest'").groupBy("field", "term")
-    counted = found.agg(F.count(F.lit(1)).alias("n_postings"), F.sum("tf").alias("n_tokens"))
-    return counted.join(updated.term_stats.drop("tp"), ["field", "term"])
+    return _piece_terms(stale.update(old, now, scratch_path(spark, "update")))
 
 
 def index_pieces(spark, sf):
@@ -550,6 +569,45 @@ def ext_artifacts(spark, sf):
                        _digest("artifact").alias("artifact_md5"))
 
 
+def _no_thirds(text):
+    """Foreign code that cannot read every text."""
+    if len(text) % 3 == 0:
+        raise ValueError("length")
+    return text.upper()
+
+
+def _failing_registry(spark, sf):
+    """One extension that fails on some texts and one whose job fails."""
+    guarded = D.guarded_extraction(_no_thirds)
+
+    def some(runs):
+        return runs.select(*KEY, guarded("console").alias("e")).select(*KEY, "e.text", "e.error")
+
+    def none(runs):
+        broken = F.raise_error(F.concat(F.lit("run "), F.col("number").cast("string")))
+        return runs.select(*KEY, broken.cast("string").alias("text"))
+
+    registry = FieldRegistry()
+    registry.register_text_field("some", some)
+    registry.register_text_field("broken", none)
+    return registry
+
+
+def ext_failing_rows(spark, sf):
+    """Documents keep all other fields where an extension fails, with the reason."""
+    docs, _ = D.build_documents_isolated(A.runs(spark, sf), _failing_registry(spark, sf))
+    return docs.select(*KEY, "p", _digest("some").alias("some_md5"), "some_error", "broken",
+                       F.col("broken_error").isNotNull().alias("broken_has_error"))
+
+
+def ext_failing_report(spark, sf):
+    """Texts and failures per extension, counted while they were written."""
+    runs = A.runs(spark, sf)
+    _, reports = D.build_documents_isolated(runs, _failing_registry(spark, sf))
+    report = D.extension_report(reports, runs)
+    return report.select("keyword", "n_texts", "n_failed", F.col("error").isNotNull().alias("failed"))
+
+
 def ext_not_stored(spark, sf):
     """Extension text is searchable: its postings exist although the stored table lacks the field."""
     registry = _registry(spark, sf)
@@ -576,16 +634,28 @@ def artifact_patterns(spark, sf):
 # -- explicit predicates ------------------------------------------------------------------------
 
 
-def phrase_match(spark, sf):
+def _phrases(spark, sf):
     """Successive words of each benchmark item, and each whole item, as a phrase."""
     shapes = ("{w3} {w4} {w5}", "{w3} {w4}", "{all}")
-    phrases = A.queries(spark, sf, shapes).withColumnRenamed("q", "phrase")
+    return A.queries(spark, sf, shapes).withColumnRenamed("q", "phrase")
+
+
+def phrase_match(spark, sf):
     return predicates.phrase_match(
-        documents(spark, sf), phrases, ["j", "d", "p", "c"], index=index(spark, sf)
+        documents(spark, sf), _phrases(spark, sf), ["j", "d", "p", "c"], index=index(spark, sf)
     )
 
 
-def wildcard_match(spark, sf):
+def phrase_after_update(spark, sf):
+    """Positions follow the documents: an index of outdated ones, brought up to date."""
+    old = _old_documents(spark, sf).withColumn("c", F.concat(F.lit("outdated "), F.reverse("c")))
+    stale = SearchIndex.build(old, scratch_path(spark, "stale"))
+    now = documents(spark, sf)
+    updated = stale.update(old, now, scratch_path(spark, "update"))
+    return predicates.phrase_match(now, _phrases(spark, sf), ["j", "d", "p", "c"], index=updated)
+
+
+def _patterns(spark, sf):
     """Patterns cut from benchmark words: beginning, end, middle and one free character."""
     words = A.queries(spark, sf, ("{w3}", "{w4}", "{w5}", "{w4}"))
     kind = F.col("qid") % 100
@@ -595,8 +665,16 @@ def wildcard_match(spark, sf):
         .when(kind == 2, F.concat(F.lit("*"), F.expr("substr(q, 2, 3)"), F.lit("*")))
         .otherwise(F.concat(F.lit("?"), F.expr("substr(q, 2)")))
     )
-    patterns = words.select("qid", F.lit("c").alias("field"), pattern.alias("pattern"))
-    return predicates.wildcard_match(index(spark, sf), patterns)
+    return words.select("qid", F.lit("c").alias("field"), pattern.alias("pattern"))
+
+
+def wildcard_match(spark, sf):
+    return predicates.wildcard_match(index(spark, sf), _patterns(spark, sf))
+
+
+def wildcard_after_update(spark, sf):
+    """The vocabulary's grams follow the documents, too."""
+    return predicates.wildcard_match(_updated_index(spark, sf), _patterns(spark, sf))
 
 
 def number_range(spark, sf):
@@ -675,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "index_update": index_update,
     "update_with_stop_words": update_with_stop_words,
     "update_with_pieces": update_with_pieces,
+    "update_keeps_pieces": update_keeps_pieces,
     "index_pieces": index_pieces,
     "query_pieces": query_pieces,
     "query_escape": query_escape,
@@ -728,9 +807,13 @@ QUERIES: dict[str, Query] = {
     "ext_failed_tests": ext_failed_tests,
     "ext_artifacts": ext_artifacts,
     "ext_not_stored": ext_not_stored,
+    "ext_failing_rows": ext_failing_rows,
+    "ext_failing_report": ext_failing_report,
     "artifact_patterns": artifact_patterns,
     "phrase_match": phrase_match,
+    "phrase_after_update": phrase_after_update,
     "wildcard_match": wildcard_match,
+    "wildcard_after_update": wildcard_after_update,
     "number_range": number_range,
     "events_latest_state": events_latest_state,
     "events_job_deleted": events_job_deleted,
