@@ -22,6 +22,7 @@ from runsift.plans.search import Searcher
 from runsift.schemas import KEY, WORD_CHARS
 from runsift.session import scratch_path, written
 from runsift.sources import adapters as A
+from runsift.sources.document_table import read_documents, write_documents, write_hits
 from runsift.sources.index_tables import SearchIndex
 from runsift.sources.logs import path_selected
 from runsift.streaming.changes import ChangeLog, compacted, event_stream, job_deletions, latest_state
@@ -173,6 +174,18 @@ def index_update(spark, sf):
     ).select("qid", *KEY, "score", F.col("rank").cast("bigint").alias("rank"))
 
 
+def index_many_updates(spark, sf):
+    """An outdated index brought up to date in four steps, its layers merged by size."""
+    old, now = _old_documents(spark, sf), documents(spark, sf)
+    current = SearchIndex.build(old, scratch_path(spark, "stale"))
+    for step in range(4):
+        own = F.col("number") % 4 == step
+        current = current.update_levelled(old.where(own), now.where(own), scratch_path(spark, "update"))
+    return Searcher(current, now).ranked(A.queries(spark, sf, RANKED)).select(
+        "qid", *KEY, "score", F.col("rank").cast("bigint").alias("rank")
+    )
+
+
 def _unittest_registry() -> FieldRegistry:
     registry = FieldRegistry()
     registry.register_text_field("unittest", lambda runs: runs, persist=True)
@@ -404,6 +417,23 @@ def _fragments(spark, sf):
     return searcher(spark, sf).fragments(A.queries(spark, sf, FRAGMENT_SHAPES))
 
 
+def search_stored_parts(spark, sf):
+    """The whole search over documents stored in parts: only parts that hold hits are read."""
+    path = scratch_path(spark, "documents")
+    write_documents(documents(spark, sf), path, 8)
+    stored = Searcher(index(spark, sf), read_documents(spark, path), doc_parts=8)
+    return _shown(stored.search(
+        A.queries(spark, sf, RANKED), A.runs(spark, sf), ROOT_URL, 1, A.visible_projects(spark, sf)
+    ))
+
+
+def hits_round_trip(spark, sf):
+    """Ranked hits written for a front end and read back."""
+    path = scratch_path(spark, "hits")
+    write_hits(bm25_topk(spark, sf), path)
+    return spark.read.parquet(path)
+
+
 def fragments(spark, sf):
     return _fragments(spark, sf).select("qid", *KEY, F.array_join("fragments", " ... ").alias("fragments"))
 
@@ -422,6 +452,10 @@ def search_pages(spark, sf):
     found = searcher(spark, sf).search(
         A.queries(spark, sf, RANKED), A.runs(spark, sf), ROOT_URL, 1, A.visible_projects(spark, sf)
     )
+    return _shown(found)
+
+
+def _shown(found):
     return found.select(
         "qid",
         F.col("page").cast("bigint").alias("page"),
@@ -573,7 +607,7 @@ def _no_thirds(text):
     """Foreign code that cannot read every text."""
     if len(text) % 3 == 0:
         raise ValueError("length")
-    return text.upper()
+    return text.replace(" ", "_")
 
 
 def _failing_registry(spark, sf):
@@ -751,6 +785,7 @@ QUERIES: dict[str, Query] = {
     "field_stats": field_stats,
     "doc_lengths": doc_lengths,
     "index_update": index_update,
+    "index_many_updates": index_many_updates,
     "update_with_stop_words": update_with_stop_words,
     "update_with_pieces": update_with_pieces,
     "update_keeps_pieces": update_keeps_pieces,
@@ -788,6 +823,8 @@ QUERIES: dict[str, Query] = {
     "fragments": fragments,
     "fragments_br": fragments_br,
     "search_pages": search_pages,
+    "search_stored_parts": search_stored_parts,
+    "hits_round_trip": hits_round_trip,
     "rebuild_overwrite": rebuild_overwrite,
     "rebuild_preserve": rebuild_preserve,
     "rebuild_subset": rebuild_subset,

@@ -176,6 +176,41 @@ class SearchIndex:
         updated._store_facts()
         return updated
 
+    def update_levelled(
+        self, old: DataFrame, new: DataFrame, path: str, pieces: DataFrame | None = None
+    ) -> SearchIndex:
+        """As `update`, and layers of like size are merged, so that there are no more than about the
+        logarithm of the number of updates above the first index. Merged layers go to ``path`` with a
+        number behind it."""
+        top, step = self.update(old, new, path, pieces), 0
+        while top.base.base is not None and 2 * top.layer_rows() >= top.base.layer_rows():
+            step += 1
+            top = top.merged(f"{path}-merged{step}")
+        return top
+
+    def merged(self, path: str) -> SearchIndex:
+        """This layer and the one under it as one layer; nothing is tokenised, nothing below is read."""
+        under = self.base
+        if under is None or under.base is None:
+            raise ValueError("only a layer above another layer can be merged with it")
+        layer = self._like(path, under.base)
+        own_removed, under_removed = self._removed(), under._removed()
+        kept = under._own_postings.join(broadcast_if_small(own_removed, stored=True), KEY, "left_anti")
+        rows = kept.unionByName(self._own_postings).drop("tp")
+        layer._store_postings(rows.repartition(self.doc_buckets, *KEY))
+        own_removed.unionByName(under_removed).distinct().write.parquet(f"{path}/removed")
+        layer._store_summed(under, self)
+        layer._store_facts()
+        return layer
+
+    def layer_rows(self) -> int:
+        """Postings and removed keys that this layer holds itself."""
+        removed = 0 if self.base is None else self._removed().count()
+        return self._own_postings.count() + removed
+
+    def n_layers(self) -> int:
+        return 1 if self.base is None else 1 + self.base.n_layers()
+
     def compact(self, path: str) -> SearchIndex:
         """One plain index with the content of this one and its bases; nothing is tokenised."""
         whole = self._like(path, None)
@@ -228,14 +263,12 @@ class SearchIndex:
         own = self._own_postings
         if self.base is None:
             return [own]
-        removed = broadcast_if_small(
-            self._read("removed", "project string, number bigint"), stored=True
-        )
+        removed = broadcast_if_small(self._removed(), stored=True)
         return [*[p.join(removed, KEY, "left_anti") for p in self.base.posting_parts()], own]
 
     def term_stat_parts(self) -> list[DataFrame]:
         """(field, term, df, tp) parts; df is signed, the sum over the parts is the document count."""
-        own = self._read("term_stats", "field string, term string, df bigint, tp int")
+        own = self._own_term_stats()
         return [own] if self.base is None else [*self.base.term_stat_parts(), own]
 
     @property
@@ -281,8 +314,20 @@ class SearchIndex:
     def _read(self, part: str, schema: str) -> DataFrame:
         return self._reader.read.schema(schema).parquet(f"{self.path}/{part}")
 
+    def _removed(self) -> DataFrame:
+        return self._read("removed", "project string, number bigint")
+
+    def _own_term_stats(self) -> DataFrame:
+        return self._read("term_stats", "field string, term string, df bigint, tp int")
+
+    def _own_length_sums(self) -> DataFrame:
+        return self._read("field_stats", "field string, n_docs bigint, sum_len bigint")
+
+    def _own_job_rows(self) -> DataFrame:
+        return self._read("jobs", "project string, terms array<string>, n_docs bigint")
+
     def _length_sums(self) -> DataFrame:
-        own = self._read("field_stats", "field string, n_docs bigint, sum_len bigint")
+        own = self._own_length_sums()
         if self.base is None:
             return own
         both = self.base._length_sums().unionByName(own)
@@ -291,7 +336,7 @@ class SearchIndex:
         )
 
     def _job_rows(self) -> DataFrame:
-        own = self._read("jobs", "project string, terms array<string>, n_docs bigint")
+        own = self._own_job_rows()
         if self.base is None:
             return own
         both = self.base._job_rows().unionByName(own)
@@ -339,18 +384,7 @@ class SearchIndex:
         rows = plus.select(*KEY, "field", "term", "dl", F.lit(1).alias("sign"))
         if minus is not None:
             rows = rows.unionByName(minus.select(*KEY, "field", "term", "dl", F.lit(-1).alias("sign")))
-        (
-            rows.groupBy("field", "term")
-            .agg(F.sum("sign").cast("bigint").alias("df"))
-            .where("df != 0")
-            .withColumn("tp", term_part(F.col("term"), self.term_parts))
-            .repartition("tp", F.pmod(F.xxhash64("field", "term"), F.lit(16)))
-            .sortWithinPartitions("tp", "term", "field")
-            .write.partitionBy("tp")
-            .options(**_LAYOUT)
-            .parquet(f"{self.path}/term_stats")
-        )
-        self._store_grams()
+        self._store_term_stats(rows.groupBy("field", "term").agg(F.sum("sign").cast("bigint").alias("df")))
         (
             rows.groupBy(*KEY, "field", "sign")
             .agg(F.max("dl").alias("dl"))
@@ -363,14 +397,38 @@ class SearchIndex:
         )
         jobs.write.parquet(f"{self.path}/jobs")
 
+    def _store_summed(self, *layers: SearchIndex) -> None:
+        """Counts of several layers as one's: all of them are signed sums."""
+        stats = reduce(DataFrame.unionByName, [layer._own_term_stats() for layer in layers])
+        self._store_term_stats(stats.groupBy("field", "term").agg(F.sum("df").alias("df")))
+        sums = reduce(DataFrame.unionByName, [layer._own_length_sums() for layer in layers])
+        sums = sums.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum("sum_len").alias("sum_len"))
+        sums.write.parquet(f"{self.path}/field_stats")
+        jobs = reduce(DataFrame.unionByName, [layer._own_job_rows() for layer in layers])
+        jobs.groupBy("project").agg(
+            F.first("terms").alias("terms"), F.sum("n_docs").alias("n_docs")
+        ).write.parquet(f"{self.path}/jobs")
+
+    def _store_term_stats(self, counts: DataFrame) -> None:
+        """(field, term, df), df signed; and the grams of the terms."""
+        (
+            counts.where("df != 0")
+            .withColumn("tp", term_part(F.col("term"), self.term_parts))
+            .repartition("tp", F.pmod(F.xxhash64("field", "term"), F.lit(16)))
+            .sortWithinPartitions("tp", "term", "field")
+            .write.partitionBy("tp")
+            .options(**_LAYOUT)
+            .parquet(f"{self.path}/term_stats")
+        )
+        self._store_grams()
+
     def _store_grams(self) -> None:
         """(gram, term, field): the vocabulary under its parts, sorted so that a gram's terms stand in few pages.
 
         An update stores those of its own terms; who reads adds up the layers and asks the statistics
         whether a term still has documents.
         """
-        own = self._read("term_stats", "field string, term string, df bigint, tp int")
-        found = own.where("df > 0").select(F.explode(grams(F.col("term"))).alias("gram"), "term", "field")
+        found = self._own_term_stats().where("df > 0").select(F.explode(grams(F.col("term"))).alias("gram"), "term", "field")
         # A gram of very many terms is spread by them.
         (
             found.repartition("gram", F.pmod(F.xxhash64("term"), F.lit(8)))

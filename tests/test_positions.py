@@ -204,3 +204,30 @@ def test_wildcards_follow_updates(spark):
     want = plain_wildcards({n: t for n, t in WORDS.items() if n != 1} | new)
     assert wildcard_hits(spark, updated) == want
     assert wildcard_hits(spark, updated.compact(scratch_path(spark, "t"))) == want
+
+
+# -- layers ------------------------------------------------------------------------------------
+
+
+def test_many_updates_leave_few_layers(spark):
+    """Nine updates, one document each: layers of like size are merged, and nothing is lost or doubled."""
+    texts = {n: f"first text of run {n}" for n in range(1, 13)}
+    index = SearchIndex.build(docs_of(spark, texts), scratch_path(spark, "t"), doc_buckets=2, term_parts=1)
+    for step in range(9):
+        number = step % 6 + 1
+        new = {number: f"red fox {step} again", 20 + step: f"new run of step {step}"}
+        before = {n: texts[n] for n in new if n in texts}
+        index = index.update_levelled(docs_of(spark, before), docs_of(spark, new), scratch_path(spark, "t"))
+        texts |= new
+        assert index.n_layers() <= 2 + (step + 1).bit_length()
+    rebuilt = SearchIndex.build(docs_of(spark, texts), scratch_path(spark, "t"), doc_buckets=2, term_parts=1)
+    columns = ["project", "number", "field", "term", "tf", "dl", "pos"]
+
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    assert rows(index.postings.select(columns)) == rows(rebuilt.postings.select(columns))
+    assert rows(index.term_stats) == rows(rebuilt.term_stats)
+    assert rows(index.field_stats) == rows(rebuilt.field_stats)
+    phrases = ["red fox", "first text of", "of step 8", "fox 2 again"]
+    assert found(index, None, phrases_of(spark, phrases)) == plain_matches(texts, phrases)
