@@ -197,6 +197,16 @@ def test_wildcards_by_grams(spark, monkeypatch, limit):
     assert wildcard_hits(spark, index) == plain_wildcards(WORDS)
 
 
+def test_several_patterns_of_one_query(spark):
+    """They add up; a pattern that fits nothing adds nothing."""
+    index = SearchIndex.build(docs_of(spark, WORDS), scratch_path(spark, "t"), doc_buckets=4)
+    rows = [(1, "c", "*cus"), (1, "c", "zz*"), (1, "d", "*"), (2, "c", "*cus"), (3, "d", "*"), (1, "c", "gam*")]
+    patterns = spark.createDataFrame(rows, "qid bigint, field string, pattern string")
+    got = {(r.qid, r.number): r.score for r in predicates.wildcard_match(index, patterns).collect()}
+    assert set(got) == {(1, 1), (1, 2), (1, 3), (2, 3), (3, 1), (3, 2), (3, 3)}
+    assert got[1, 3] == pytest.approx(got[2, 3] + got[3, 3], abs=2e-4)
+
+
 def test_wildcards_follow_updates(spark):
     index = SearchIndex.build(docs_of(spark, WORDS), scratch_path(spark, "t"), doc_buckets=4)
     new = {1: "alpha delta", 4: "alphonse abba"}
