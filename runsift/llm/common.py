@@ -63,10 +63,14 @@ def batch_bytes(spark: SparkSession, size: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def written_small(df: DataFrame, label: str, row_bytes: int = 64) -> DataFrame:
-    """Write a narrow table once; broadcast what was written if its counted rows fit, else leave the join to shuffle."""
+def written_small(df: DataFrame, label: str, row_bytes: int | Column = 64) -> DataFrame:
+    """Write a narrow table once; broadcast what was written if its rows fit, else leave the join to shuffle.
+
+    `row_bytes` is the size of any row, or, where rows hold arrays or texts, a column of it that is added up.
+    """
     kept = written(df, label)
-    return F.broadcast(kept) if kept.count() * row_bytes <= BROADCAST_LIMIT_BYTES else kept
+    size = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
+    return F.broadcast(kept) if (kept.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_LIMIT_BYTES else kept
 
 
 def shingle_rows(df: DataFrame, words: Column, n: int, word: str = "__w", position: str = "__p") -> DataFrame:

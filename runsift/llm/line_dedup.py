@@ -1,7 +1,8 @@
 """Line de-duplication within one edit, by deletion neighbourhoods.
 
-A line is dropped when the same line, or one at character edit distance 1, stands earlier; "earlier" goes by document id
-(null first), then line number. Two lines are within one edit exactly if
+A line is dropped when the same line stands earlier, whatever its length, or, from `min_chars` characters on, when a line
+of at least as many characters at edit distance 1 does. "Earlier" goes by document id (null first), then by a hash of the
+text where ids are null or shared, then by line number. Two lines are within one edit exactly if
   * deleting the character at the same position makes them equal (substitution), or
   * deleting one character of the longer gives the shorter (insertion, deletion).
 All deletion variants are emitted as hashed keys (two 64-bit hashes) and equal variants are joined. In a group of equal
@@ -12,9 +13,10 @@ A line of L characters has L variants. Emitting them for all lines is avoided wi
 neighbourhood is first taken with whole pieces (halves, then sixteenths of a line) deleted instead of characters. Lines
 within one edit share such a coarse variant, so a line that shares none needs no fine ones.
 
-Defined cases: a null text has one empty line; lines shorter than `min_chars` characters (headings, separators, list
-marks) are never dropped; equal rows (same id, same text) count as one document and come out alike; a document that
-loses all lines keeps its row with an empty text; other columns, whatever their names, pass unchanged; empty tables give
+Defined cases: a null text has one empty line; lines of nothing but blanks, tabs and carriage returns separate paragraphs
+and are never dropped; one edit in a short line changes what it says, so those go only where they repeat exactly; equal rows
+(same id, same text) count as one document and come out alike, rows of one id with different texts, or without an id, are
+documents of their own; a document that loses all lines keeps its row with an empty text; other columns, whatever their names, pass unchanged; empty tables give
 empty results. Only DataFrame functions are used.
 """
 
@@ -29,6 +31,8 @@ from runsift.session import written
 MIN_CHARS = 32
 COARSE_PIECES = (2, 16)
 LINE = ["h1", "h2"]
+PLACE = ["doc_id", "row_key", "line_no"]
+BLANKS = " \t\r"
 
 
 def _hashes(text: Column) -> tuple[Column, Column]:
@@ -68,16 +72,17 @@ def _sharing(lines: DataFrame, keys: Column, label: str) -> DataFrame:
 def _with_text(docs: DataFrame, lines: DataFrame, label: str) -> DataFrame:
     """(h1, h2, pos, line): the text of given lines, taken at their earliest place."""
     wanted = written_small(
-        lines.select(*LINE, F.col("pos.doc_id").alias("at_doc"), F.col("pos.line_no").alias("at_line")), label, 48
+        lines.select(*LINE, *[F.col(f"pos.{c}").alias(f"at_{c}") for c in PLACE]), label, 56
     )
     rows = _numbered_lines(docs).alias("r").join(
         wanted.alias("w"),
-        F.col("r.doc_id").eqNullSafe(F.col("w.at_doc"))
-        & (F.col("r.line_no") == F.col("w.at_line"))
+        F.col("r.doc_id").eqNullSafe(F.col("w.at_doc_id"))
+        & (F.col("r.row_key") == F.col("w.at_row_key"))
+        & (F.col("r.line_no") == F.col("w.at_line_no"))
         & (F.col("r.h1") == F.col("w.h1"))
         & (F.col("r.h2") == F.col("w.h2")),
     )
-    rows = rows.select("r.h1", "r.h2", F.struct("r.doc_id", "r.line_no").alias("pos"), "line")
+    rows = rows.select("r.h1", "r.h2", F.struct(*[f"r.{c}" for c in PLACE]).alias("pos"), "line")
     return rows.dropDuplicates(LINE)
 
 
@@ -127,13 +132,13 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int =
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     length = F.length("line")
-    judged = _numbered_lines(docs).where(length >= max(min_chars, 1))
-    first_pieces = COARSE_PIECES[0]
+    judged = _numbered_lines(docs).where(F.length(F.btrim("line", F.lit(BLANKS))) > 0)
+    halves = F.when(length >= min_chars, coarse_keys(F.col("line"), length, COARSE_PIECES[0]))
     lines = written(
         judged.groupBy(*LINE).agg(
-            F.min(F.struct("doc_id", "line_no")).alias("pos"),
+            F.min(F.struct(*PLACE)).alias("pos"),
             F.count("*").alias("n"),
-            F.min(coarse_keys(F.col("line"), length, first_pieces)).alias("keys"),
+            F.min(halves).alias("keys"),
         ),
         "distinct-lines",
     )
@@ -149,8 +154,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int =
         near = _verified(near_links(texts), texts).withColumn("near", F.lit(True))
         near = near.withColumn("pos", F.lit(None).cast(lines.schema["pos"].dataType))
         repeated = repeated.unionByName(near).groupBy(*LINE).agg(F.max("near").alias("near"), F.max("pos").alias("pos"))
-    fate = written_small(repeated, "line-fate", 48)
-    here = F.struct("doc_id", "line_no")
+    fate = written_small(repeated, "line-fate", 56)
+    here = F.struct(*PLACE)
     gone = judged.drop("line").join(fate, LINE).where(F.col("near") | (here != F.col("pos")))
     return gone.groupBy("doc_id", "row_key").agg(F.collect_set("line_no").alias("dropped"))
 
@@ -160,7 +165,7 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int = 1
     doc, row, lost = free_names(docs, "lost_from", "lost_row", "lost_lines")
     gone = dropped_lines(docs.select("doc_id", "text"), min_chars, max_edits)
     gone = gone.select(F.col("doc_id").alias(doc), F.col("row_key").alias(row), F.col("dropped").alias(lost))
-    gone = written_small(gone, "dropped-lines", 256)
+    gone = written_small(gone, "dropped-lines", 64 + 8 * F.size(lost))
     text = text_or_empty(docs["text"])
     joined = docs.join(gone, docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(row)), "left")
     lines = F.split(text, "\n")

@@ -70,10 +70,11 @@ placed AS (
   SELECT doc_id, u.i AS line_no, lines[u.i] AS line, row_number() OVER (ORDER BY doc_id, u.i) AS pos
   FROM split, unnest(range(1, len(lines) + 1)) AS u(i)
 ),
-texts AS (SELECT line, length(line) AS size, min(pos) AS pos FROM placed WHERE length(line) >= {MIN_CHARS} GROUP BY line),
+texts AS (SELECT line, length(line) AS size, min(pos) AS pos FROM placed
+  WHERE trim(line, ' ' || chr(9) || chr(13)) <> '' GROUP BY line),
 halves AS (
   SELECT *, c, s.side, CASE s.side WHEN 0 THEN left(line, c // 2) ELSE right(line, c - c // 2) END AS half
-  FROM (SELECT *, unnest([size, size - 1]) AS c FROM texts), (VALUES (0), (1)) AS s(side)
+  FROM (SELECT *, unnest([size, size - 1]) AS c FROM texts WHERE size >= {MIN_CHARS}), (VALUES (0), (1)) AS s(side)
 ),
 pairs AS (
   SELECT DISTINCT a.line AS late, b.line AS early,

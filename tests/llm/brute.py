@@ -37,25 +37,36 @@ def edit_distance_within_one(a, b):
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
-def deduplicated_lines(docs, min_chars=32):
-    """docs: list of (doc_id, text); every line against every earlier one."""
-    order = sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0))
+def deduplicated_rows(docs, min_chars=32):
+    """docs: list of (doc_id, text); every line against every earlier one. Result by (doc_id, text)."""
+
+    def place(row):
+        digest = xxhash.xxh64_intdigest((row[1] or "").encode(), seed=42)
+        return row[0] is not None, row[0] or 0, digest - (1 << 64) * (digest >> 63)
+
+    exact: set[str] = set()
     seen: list[str] = []
     out = {}
-    for doc_id, text in order:
+    for doc_id, text in sorted(dict.fromkeys(docs), key=place):
         kept = []
         lines = (text or "").split("\n")
         for line in lines:
-            if len(line) >= min_chars:
-                if any(edit_distance_within_one(line, s) for s in seen if abs(len(s) - len(line)) <= 1):
-                    seen.append(line)
-                    continue
+            judged, near = line.strip(" \t\r") != "", len(line) >= min_chars
+            gone = judged and (line in exact or near and any(edit_distance_within_one(line, s) for s in seen))
+            if judged and near and line not in exact:
                 seen.append(line)
-            kept.append(line)
-        out[doc_id] = (len(kept), len(lines) - len(kept), "\n".join(kept))
+            exact.add(line)
+            if not gone:
+                kept.append(line)
+        out[doc_id, text] = (len(kept), len(lines) - len(kept), "\n".join(kept))
     return out
 
 
+def deduplicated_lines(docs, min_chars=32):
+    """As above for distinct ids: result by doc_id."""
+    return {doc_id: found for (doc_id, _), found in deduplicated_rows(docs, min_chars).items()}
+
+
 def words(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x20\x09-\x0D]+", low)

@@ -339,8 +339,7 @@ def test_lines_within_one_edit(spark, min_chars):
     texts = ["abcdefgh", "abcdefg", "abcdefgx", "xbcdefgh", "abcdeffgh", "bcdefgh", "abcd", "abXd", "éàü ß", "éaü ß", "aaaa", "aaa", "aaaaaa"]
     rows = [(i, "\n".join(texts[i : i + 3])) for i in range(len(texts))] + [(50, ""), (51, None), (52, "abcdefgh\n\nabcdefgh")]
     got = result_of(line_dedup.deduplicated(docs_of(spark, rows), min_chars))
-    # Empty lines are never judged.
-    assert got == brute.deduplicated_lines(rows, max(min_chars, 1))
+    assert got == brute.deduplicated_lines(rows, min_chars)
 
 
 def test_lines_of_awkward_rows(spark, docs, rows, no_docs):
@@ -355,6 +354,18 @@ def test_lines_of_awkward_rows(spark, docs, rows, no_docs):
     assert plain.text.startswith(PROSE.replace("dog", "dogs"))
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    first, near = "a line of over thirty-two characters, twice", "a line of over thirty-two characters, twicE"
+    rows = [(None, f"{first}\none"), (None, f"{near}\ntwo"), (None, None), (7, f"{first}\nmenu\n \t\n\nmenu"), (7, f"menu\n \t\n{near}x\nMenu")]
+    texts = docs_of(spark, rows + rows[-1:]).withColumn("tie", F.col("text"))
+    found = line_dedup.deduplicated(texts).collect()
+    assert len(found) == len(rows) + 1
+    want = brute.deduplicated_rows(rows)
+    assert {(r.doc_id, r.tie): (r.lines_kept, r.lines_dropped, r.text or "") for r in found} == want
+    # Of the four long lines the first stays; short ones go only where they are equal.
+    assert sum(dropped for _, dropped, _ in want.values()) == 3 + 2
+
+
 def test_many_lines_with_one_variant(spark):
     rows = [(i, f"this line is the same but for one mark: {chr(0x4E00 + i)}") for i in range(300)]
     got = result_of(line_dedup.deduplicated(docs_of(spark, rows)))
