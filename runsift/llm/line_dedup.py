@@ -132,19 +132,20 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, max_edits: int =
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
     length = F.length("line")
-    judged = _numbered_lines(docs).where(F.length(F.btrim("line", F.lit(BLANKS))) > 0)
-    halves = F.when(length >= min_chars, coarse_keys(F.col("line"), length, COARSE_PIECES[0]))
+    judged = _numbered_lines(docs).where(F.ltrim("line", F.lit(BLANKS)) != "")
+    first_pieces = COARSE_PIECES[0]
     lines = written(
         judged.groupBy(*LINE).agg(
             F.min(F.struct(*PLACE)).alias("pos"),
             F.count("*").alias("n"),
-            F.min(halves).alias("keys"),
+            F.min(length).alias("chars"),
+            F.min(coarse_keys(F.col("line"), length, first_pieces)).alias("keys"),
         ),
         "distinct-lines",
     )
     repeated = lines.where("n > 1").select(*LINE, "pos", F.lit(False).alias("near"))
     if max_edits:
-        likely = _sharing(lines, F.col("keys"), "halves")
+        likely = _sharing(lines.where(F.col("chars") >= min_chars), F.col("keys"), "halves")
         for pieces in COARSE_PIECES[1:]:
             texts = written(_with_text(docs, likely, "likely-lines"), "line-texts")
             likely = _sharing(texts, coarse_keys(F.col("line"), length, pieces), "pieces")
