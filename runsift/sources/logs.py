@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runsift.schemas import KEY
+from runsift.session import written
 
 
 def decode_text(content: Column, charset: str = "UTF-8") -> Column:
@@ -98,13 +100,16 @@ def _run_of(path: Column) -> list[Column]:
 def read_console_logs(spark: SparkSession, root: str, charset: str = "UTF-8") -> DataFrame:
     """(project, number, console) from ``<project>/<number>/log`` files.
 
-    A log that is listed but cannot be read keeps its run, with a null console. A log is one value;
-    ``read_log_lines`` reads logs of any size.
+    A log that is listed but cannot be read keeps its run, with a null console. What was read is written
+    to the shared folder, so that only keys are compared with the listing and no console is shuffled.
+    A log is one value; ``read_log_lines`` reads logs of any size.
     """
     files = read_files(spark, root, "log").where(F.col("path").rlike(_LOG))
     listed = files.select(*_run_of(F.col("path")))
     read = files.select(*_run_of(F.col("path")), decode_text(F.col("content"), charset).alias("console"))
-    return listed.join(read, ["project", "number"], "left")
+    read = written(read, "consoles")
+    unread = listed.join(read.select(*KEY), KEY, "left_anti")
+    return read.unionByName(unread.withColumn("console", F.lit(None).cast("string")))
 
 
 def read_log_lines(spark: SparkSession, root: str) -> DataFrame:

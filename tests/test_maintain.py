@@ -179,6 +179,17 @@ def test_log_and_artifact_files(spark, tmp_path):
     }
 
 
+def test_unreadable_log_keeps_its_run(spark, tmp_path):
+    for number, text in ((1, "fine"), (2, "spoilt")):
+        folder = tmp_path / "app" / str(number)
+        folder.mkdir(parents=True)
+        (folder / "log").write_text(text)
+    # A checksum file that does not fit makes the reader fail for this log alone.
+    (tmp_path / "app" / "2" / ".log.crc").write_bytes(b"crc\0" + (512).to_bytes(4, "big") + bytes(4))
+    got = logs.read_console_logs(spark, str(tmp_path))
+    assert {(r.project, r.number, r.console) for r in got.collect()} == {("app", 1, "fine"), ("app", 2, None)}
+
+
 def test_maintenance_events_equal_table_operations(spark, sf):
     from runsift.streaming import changes as C
 
