@@ -388,6 +388,28 @@ def test_quality_on_held_out_labels(spark, sf):
         assert r.predicted == int(r.score >= 0.7)
 
 
+def test_quality_votes_against_plain_votes(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = quality.fitted(docs, quality.learnable(labels))
+    known = [(vector.astype(float), label) for vector, label in zip(model.labelled, model.labels, strict=True)]
+    k, prior = min(quality.NEIGHBOURS, len(known)), sum(label for _, label in known) / len(known)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in registered.op7_quality(spark, sf).collect():
+        own = model.latent(quality.term_counts(texts[r.doc_id])[None, :])[0].astype(float)
+        near = sorted(((float(own @ vector), label) for vector, label in known), reverse=True)
+        least = near[k - 1][0]
+        # Which of equally near neighbours vote is free, so the score lies between their least and greatest vote.
+        sure = [(c, label) for c, label in near if c > least + 1e-5]
+        tied = sorted(label for c, label in near if abs(c - least) <= 1e-5)
+        free = k - len(sure)
+        ends = []
+        for chosen in (tied[:free], tied[len(tied) - free :]):
+            votes = [(max(c, 0.0) ** 2, label) for c, label in sure + [(least, label) for label in chosen]]
+            total = sum(w for w, _ in votes) + quality.PRIOR_WEIGHT
+            ends.append((sum(w * label for w, label in votes) + quality.PRIOR_WEIGHT * prior) / total)
+        assert ends[0] - 1e-3 <= r.score <= ends[1] + 1e-3, r.doc_id
+
+
 def test_quality_of_awkward_rows(spark, docs, rows, no_docs):
     labels = spark.createDataFrame([(1, 1), (9, 0), (4, None), (None, 1), (77, 1), (1, 0)], "doc_id long, quality int")
     got = quality.scored(docs, labels).collect()
