@@ -114,3 +114,21 @@ def edited(docs):
 
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def fingerprint128(text):
+    """(high, low) of weighted word pairs, a vote at a time."""
+    w = words(text)
+    terms = list(zip(w, w[1:], strict=False)) or [(x,) for x in w]
+    out = []
+    for half in (1, 2):
+        votes = [0] * 64
+        for term in terms:
+            h = xxhash.xxh64_intdigest(half.to_bytes(4, "little"), seed=42)
+            for word in term:
+                h = xxhash.xxh64_intdigest(word.encode(), seed=h)
+            weight = 1 + min(len("".join(term)) // 4, 7)
+            for bit in range(64):
+                votes[bit] += weight if h >> bit & 1 else -weight
+        out.append(sum(1 << bit for bit in range(64) if votes[bit] > 0))
+    return tuple(out)

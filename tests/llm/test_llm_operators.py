@@ -1,6 +1,7 @@
 """The ten operators against brute force, on small tables with all the awkward rows."""
 
 import functools
+import math
 import re
 import zlib
 
@@ -372,6 +373,23 @@ def test_many_lines_with_one_variant(spark):
     assert sum(k for k, _, _ in got.values()) == 1 and got[0][0] == 1
 
 
+def test_fingerprint_bits_and_likeness_against_plain_votes(spark, sf, given_docs):
+    texts = {doc_id: text for doc_id, text in given_docs if len(text or "") < 20_000}
+    edited, order = brute.edited(given_docs), sorted((doc_id for doc_id, _ in given_docs), reverse=True)
+    following = dict(zip(order, order[1:] + order[:1], strict=True))
+
+    def alike(a, b):
+        return max(0.0, math.cos(sum((x ^ y).bit_count() for x, y in zip(a, b, strict=True)) * math.pi / 128))
+
+    for r in registered.op4_fingerprints(spark, sf).collect():
+        if r.doc_id not in texts or following[r.doc_id] not in texts:
+            continue
+        own, other = brute.fingerprint128(texts[r.doc_id]), brute.fingerprint128(edited[r.doc_id])
+        assert r.fingerprint == "%016x%016x" % own and r.edited_fingerprint == "%016x%016x" % other
+        assert abs(r.near_edited - alike(own, other)) < 1e-9
+        assert abs(r.near_next - alike(own, brute.fingerprint128(texts[following[r.doc_id]]))) < 1e-9
+
+
 # 7. Quality
 
 
