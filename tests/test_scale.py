@@ -1,10 +1,12 @@
 """Tasks grow with the data, and results do not depend on how the work is cut."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from runsift import SearchIndex
+from runsift import SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
+from runsift.operators import predicates, scoring
 from runsift.schemas import RUNS
 from runsift.session import scratch_path
 from runsift.sources import index_tables
@@ -43,3 +45,67 @@ def test_a_build_has_more_tasks_for_more_input(spark, docs, index, monkeypatch):
     stored = spark.read.parquet(path)
     monkeypatch.setattr(index_tables, "TASK_BYTES", index_tables.source_bytes(stored) // 10)
     assert index._postings_of(stored).rdd.getNumPartitions() == 12
+
+
+QUERIES = [
+    "build disk", "build OR retry", "disk NOT failed", "app ok", "web build OR disk", "c:ok j:app", "p:disk retry",
+    "NOT ok", "zz:build OR ok", "build/disk ok", "7", "ok ok",
+]
+
+
+@pytest.mark.parametrize("steps", [1, 4, 1 << 20])
+def test_hits_do_not_depend_on_slices_and_steps(spark, docs, index, monkeypatch, steps):
+    asked = spark.createDataFrame([*enumerate(QUERIES), (0, "build disk"), (None, "ok")], "qid bigint, q string")
+    # Null and repeated qids belong to a query table's rows; they are answered the same on both ways.
+    plain = Searcher(index, docs, broadcast_limit=0).scored(asked)
+    monkeypatch.setattr(scoring, "TASK_POSTINGS", 20)
+    monkeypatch.setattr(scoring, "STEP_PAIRS", steps)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "3")
+    try:
+        sliced = Searcher(index, docs).scored(asked)
+        assert sliced.rdd.getNumPartitions() > 8
+        ours = sliced.collect()
+    finally:
+        spark.conf.set(limit, before)
+
+    def rows(found):
+        return sorted((-1 if r.qid is None else r.qid, r.project, r.number, round(r.score, 3)) for r in found)
+
+    assert rows(ours) == rows(plain.collect())
+    assert len(ours) > 100
+
+
+def test_runs_without_a_number_or_project_are_scored(spark, docs, monkeypatch):
+    odd = docs.limit(6).withColumn("number", F.when(F.col("number") % 2 == 0, F.col("number")))
+    odd = odd.withColumn("project", F.when(F.col("j") == "app", F.col("project")))
+    index = SearchIndex.build(odd, scratch_path(spark, "odd"), doc_buckets=4)
+    asked = spark.createDataFrame([(1, "build OR disk OR ok")], "qid bigint, q string")
+    plain = Searcher(index, odd, broadcast_limit=0).scored(asked)
+    sliced = Searcher(index, odd).scored(asked)
+
+    def rows(found):
+        return sorted((str(r.project), str(r.number), round(r.score, 3)) for r in found.collect())
+
+    assert rows(sliced) == rows(plain)
+
+
+def test_words_that_no_document_has_give_no_hits(spark, docs, index):
+    asked = spark.createDataFrame([(1, "nowhere"), (2, "\"")], "qid bigint, q string")
+    assert Searcher(index, docs).scored(asked).count() == 0
+
+
+def test_wildcards_do_not_depend_on_slices(spark, index, monkeypatch):
+    rows = [(1, "c", "*i*"), (1, "c", "b*"), (1, "c", "b*"), (1, "p", "*i*"), (2, "c", "?k"), (3, "c", "*"), (4, "c", "x*")]
+    asked = spark.createDataFrame(rows, "qid bigint, field string, pattern string")
+    whole = {tuple(r) for r in predicates.wildcard_match(index, asked).collect()}
+    monkeypatch.setattr(scoring, "TASK_POSTINGS", 20)
+    monkeypatch.setattr(scoring, "STEP_PAIRS", 3)
+    sliced = predicates.wildcard_match(index, asked)
+    assert sliced.rdd.getNumPartitions() > 8
+    assert {tuple(r) for r in sliced.collect()} == whole
+    assert {r[0] for r in whole} == {1, 2, 3}
+    monkeypatch.setattr(predicates, "fits_broadcast", lambda df: False)
+    plain = {tuple(r) for r in predicates.wildcard_match(index, asked).collect()}
+    assert {r[:3] for r in plain} == {r[:3] for r in whole}
