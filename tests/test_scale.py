@@ -83,6 +83,7 @@ def test_runs_without_a_number_or_project_are_scored(spark, docs, monkeypatch):
     index = SearchIndex.build(odd, scratch_path(spark, "odd"), doc_buckets=4)
     asked = spark.createDataFrame([(1, "build OR disk OR ok")], "qid bigint, q string")
     plain = Searcher(index, odd, broadcast_limit=0).scored(asked)
+    monkeypatch.setattr(scoring, "TASK_POSTINGS", 1)
     sliced = Searcher(index, odd).scored(asked)
 
     def rows(found):
