@@ -1,12 +1,13 @@
 """Tasks grow with the data, and results do not depend on how the work is cut."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from runsift import SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
-from runsift.operators import predicates, scoring
+from runsift.operators import counting, predicates, scoring
 from runsift.schemas import RUNS
 from runsift.session import scratch_path
 from runsift.sources import index_tables
@@ -110,3 +111,53 @@ def test_wildcards_do_not_depend_on_slices(spark, index, monkeypatch):
     monkeypatch.setattr(predicates, "fits_broadcast", lambda df: False)
     plain = {tuple(r) for r in predicates.wildcard_match(index, asked).collect()}
     assert {r[:3] for r in plain} == {r[:3] for r in whole}
+
+
+def test_tokens_counted_run_by_run_are_those_counted_by_grouping(spark, monkeypatch):
+    """Repeated and missing keys, texts that go on in the next batch, runs smaller than a document."""
+    rows = [("app", n % 5, f"#{n}", None, " ".join(WORDS * (n + 1) * 7) + f" w{n}", "") for n in range(12)]
+    odd = D.build_documents(spark.createDataFrame(rows, RUNS))
+    odd = odd.withColumn("number", F.when(F.col("number") != 3, F.col("number")))
+    odd = odd.withColumn("p", F.when(F.col("number") == 1, ""))
+    keys, limit = ["j", "n", "d", "p", "c"], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    grouped = P.token_rows(P.field_text(odd, keys), {"n"}).groupBy(*P.POSTING)
+    wanted = grouped.agg(F.count(F.lit(1)).alias("tf"), F.max("n_tokens").alias("dl"), P._places())
+    wanted = sorted(map(str, wanted.collect()))
+    monkeypatch.setattr(counting, "RUN_TOKENS", 30)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "3")
+    try:
+        found = P.postings(odd, keys, {"n"}, partitions=4)
+        # Tokens are not grouped by a sort of them all.
+        assert "Aggregate" not in plan(found) and "MapInArrow" in plan(found)
+        assert sorted(map(str, found.collect())) == wanted
+        apart = P.postings(odd, keys, {"n"}, partitions=4, part=lambda term: F.pmod(F.xxhash64(term), F.lit(3)))
+        assert sorted(map(str, apart.collect())) == wanted
+        assert sorted(map(str, P.postings(odd, keys, {"n"}, places=False).collect())) == sorted(
+            map(str, found.drop("pos").collect())
+        )
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_a_large_run_is_counted_words_by_words(monkeypatch):
+    words = [f"w{i % 7}" for i in range(50)]
+    lists = pa.table({
+        "project": ["a", "a", "b"], "number": [1, 1, None], "field": ["c"] * 3, "n_tokens": [40, 40, 10],
+        "base": [0, 20, 0], "found": [words[:20], words[20:40], words[40:]],
+    })
+    parts = [[int(w[1:]) % 3 for w in found] for found in lists["found"].to_pylist()]
+    run = [counting._encoded(lists.slice(0, 2)), counting._encoded(lists.slice(2))]
+    apart = lists.append_column("parts", pa.array(parts, pa.list_(pa.int32())))
+
+    def rows():
+        return sorted(str(r) for b in counting._counted_run(run, True) for r in b.to_pylist())
+
+    whole = rows()
+    by_part = [r for b in counting._counted_run([counting._encoded(apart)], True) for r in b.to_pylist()]
+    assert sorted(map(str, by_part)) == whole
+    order = [(int(r["term"][1:]) % 3, r["term"]) for r in by_part]
+    assert order == sorted(order)
+    monkeypatch.setattr(counting, "STEP_TOKENS", 9)
+    assert rows() == whole
+    assert len(whole) == 14
