@@ -161,3 +161,25 @@ def test_a_large_run_is_counted_words_by_words(monkeypatch):
     monkeypatch.setattr(counting, "STEP_TOKENS", 9)
     assert rows() == whole
     assert len(whole) == 14
+
+
+def test_a_patterns_terms_are_found_by_its_rarest_key(spark, index, monkeypatch):
+    """Terms under the other keys are neither read again nor shuffled; repeated grams give a term once."""
+    sizes = []
+    offered = predicates._offered
+
+    def counted(by_gram, wanted, small):
+        sizes.append({(r.field, r.key) for r in wanted.select("field", "key").collect()})
+        return offered(by_gram, wanted, small)
+
+    monkeypatch.setattr(predicates, "_offered", counted)
+    asked = spark.createDataFrame([(1, "c", "fail*"), (2, "c", "*i*"), (3, "c", "zz*")], "qid bigint, field string, pattern string")
+    terms = index.term_stats.select("field", "term")
+    fitting = predicates.fitting_terms(index.grams.unionByName(index.grams), terms, asked)
+    # Terms are compared where the grams are read.
+    assert "Exchange hashpartitioning" not in plan(fitting)
+    assert {tuple(r) for r in fitting.collect()} == {
+        (1, "c", "failed"), (2, "c", "build"), (2, "c", "disk"), (2, "c", "failed"),
+    }
+    # Keys of patterns with several are counted, then each pattern has one.
+    assert len(sizes) == 2 and len(sizes[1]) == 3
