@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runsift import SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
-from runsift.operators import counting, predicates, scoring
+from runsift.operators import counting, predicates, rank, scoring
 from runsift.schemas import RUNS
 from runsift.session import scratch_path
 from runsift.sources import index_tables
@@ -183,3 +183,24 @@ def test_a_patterns_terms_are_found_by_its_rarest_key(spark, index, monkeypatch)
     }
     # Keys of patterns with several are counted, then each pattern has one.
     assert len(sizes) == 2 and len(sizes[1]) == 3
+
+
+def test_ranked_hits_are_not_shuffled_again(spark, monkeypatch):
+    """Slices follow from the number of hits; repeated hits and queries over many slices keep all their ranks."""
+    scored = spark.range(600).select(
+        (F.col("id") % 7 % 2).alias("qid"),
+        F.when(F.col("id") % 5 > 0, "p").alias("project"),
+        (F.col("id") % 200).alias("number"),
+        (F.col("id") % 3).cast("double").alias("score"),
+    )
+    monkeypatch.setattr(rank, "TASK_HITS", 50, raising=False)
+    ranked = rank.rank_all(scored)
+    assert "Exchange hashpartitioning" not in plan(ranked) and "Window" not in plan(ranked)
+    assert ranked.rdd.getNumPartitions() > 1
+    found = [(r.qid, -r.score, r.project is not None, r.project or "", r.number, r["rank"]) for r in ranked.collect()]
+    wanted = []
+    for q in (0, 1):
+        own = sorted(f[:5] for f in found if f[0] == q)
+        wanted += [(*row, n) for n, row in enumerate(own, 1)]
+    assert len(found) == 600
+    assert sorted(found) == sorted(wanted)
