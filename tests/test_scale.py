@@ -204,3 +204,18 @@ def test_ranked_hits_are_not_shuffled_again(spark, monkeypatch):
         wanted += [(*row, n) for n, row in enumerate(own, 1)]
     assert len(found) == 600
     assert sorted(found) == sorted(wanted)
+
+
+def test_all_pages_are_spread_once_and_by_their_hits(spark, docs, index, monkeypatch):
+    """Both windows of a page share one shuffle, whose tasks follow from the number of hits."""
+    same = docs.withColumn("d", F.concat(F.lit("#"), (F.col("number") % 3).cast("string")))
+    asked = spark.createDataFrame([(n, f"{w} OR build") for n, w in enumerate(WORDS)], "qid bigint, q string")
+    columns = ["qid", "page", "pos_in_page", "search_name", "rank"]
+    monkeypatch.setattr(rank, "with_page", lambda ranked: ranked.withColumn("page", F.ceil(F.col("rank") / 10).cast("int")))
+    whole = sorted(map(str, Searcher(index, same).pages(asked, None).select(*columns).collect()))
+    assert len(whole) > 60
+    monkeypatch.setattr(rank, "TASK_HITS", 20, raising=False)
+    spread = Searcher(index, same).pages(asked, None)
+    assert plan(spread).count("Exchange hashpartitioning(qid") == 1
+    assert spread.rdd.getNumPartitions() > 5
+    assert sorted(map(str, spread.select(*columns).collect())) == whole
