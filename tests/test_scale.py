@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runsift import SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
-from runsift.operators import counting, predicates, rank, scoring
+from runsift.operators import counting, predicates, queryterms, rank, scoring
 from runsift.schemas import RUNS
 from runsift.session import scratch_path
 from runsift.sources import index_tables
@@ -219,3 +219,16 @@ def test_all_pages_are_spread_once_and_by_their_hits(spark, docs, index, monkeyp
     assert plan(spread).count("Exchange hashpartitioning(qid") == 1
     assert spread.rdd.getNumPartitions() > 5
     assert sorted(map(str, spread.select(*columns).collect())) == whole
+
+
+def test_long_queries_are_parsed_in_several_tasks(spark, index, monkeypatch):
+    """Few rows of much text, repeated and null ones included, are spread by their bytes."""
+    rows = [*enumerate(QUERIES), (0, "build disk"), (None, "ok"), (99, None)]
+    asked = spark.createDataFrame(rows, "qid bigint, q string").coalesce(1)
+    parsed = queryterms.analyse(asked, index.jobs, small=True)
+    wanted = sorted(map(str, parsed.collect()))
+    assert len(parsed.inputFiles()) == 1
+    monkeypatch.setattr(queryterms, "TASK_QUERY_BYTES", 16, raising=False)
+    spread = Searcher(index, asked).analyse(asked)
+    assert len(spread.inputFiles()) > 1
+    assert sorted(map(str, spread.collect())) == wanted
