@@ -221,6 +221,21 @@ def test_all_pages_are_spread_once_and_by_their_hits(spark, docs, index, monkeyp
     assert sorted(map(str, spread.select(*columns).collect())) == whole
 
 
+def test_spread_postings_are_not_read_bucket_by_bucket(spark, docs, index, monkeypatch):
+    """Top hits of more postings than the buckets hold: the scan's tasks follow from the files, also of an updated index."""
+    asked = spark.createDataFrame([*enumerate(QUERIES)], "qid bigint, q string")
+    changed = docs.where("number % 5 = 0")
+    now = changed.withColumn("c", F.concat("c", F.lit(" retry")))
+    updated = index.update(changed, now, scratch_path(spark, "scale-update"))
+    columns = ["qid", "project", "number", "score", "rank"]
+    whole = [sorted(map(str, Searcher(i, docs).ranked(asked).select(*columns).collect())) for i in (index, updated)]
+    assert whole[0] and whole[0] != whole[1]
+    monkeypatch.setattr(scoring, "TASK_POSTINGS", 1)
+    spread = [Searcher(i, docs).ranked(asked).select(*columns) for i in (index, updated)]
+    assert "Bucketed: true" not in plan(spread[0])
+    assert [sorted(map(str, s.collect())) for s in spread] == whole
+
+
 def test_long_queries_are_parsed_in_several_tasks(spark, index, monkeypatch):
     """Few rows of much text, repeated and null ones included, are spread by their bytes."""
     rows = [*enumerate(QUERIES), (0, "build disk"), (None, "ok"), (99, None)]
