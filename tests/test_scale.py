@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runsift import SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
-from runsift.operators import counting, predicates, queryterms, rank, scoring
+from runsift.operators import counting, highlight, predicates, queryterms, rank, scoring
 from runsift.schemas import RUNS
 from runsift.session import scratch_path
 from runsift.sources import index_tables
@@ -247,3 +247,20 @@ def test_long_queries_are_parsed_in_several_tasks(spark, index, monkeypatch):
     spread = Searcher(index, asked).analyse(asked)
     assert len(spread.inputFiles()) > 1
     assert sorted(map(str, spread.collect())) == wanted
+
+
+def test_consoles_are_cut_in_tasks_by_their_number(spark, docs, index, monkeypatch):
+    asked = spark.createDataFrame([*enumerate(QUERIES)], "qid bigint, q string")
+    whole = sorted(map(str, Searcher(index, docs).fragments(asked).collect()))
+    assert len(whole) > 60
+    tasks = []
+    cut = highlight.fragment_table
+
+    def counted(consoles, *n):
+        tasks.append(cut(consoles, *n).rdd.getNumPartitions())
+        return cut(consoles, *n)
+
+    monkeypatch.setattr(highlight, "fragment_table", counted)
+    monkeypatch.setattr(highlight, "TASK_CONSOLES", 2, raising=False)
+    assert sorted(map(str, Searcher(index, docs).fragments(asked).collect())) == whole
+    assert tasks[0] > 15
