@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from runsift import SearchIndex, Searcher
+from runsift import FieldRegistry, SearchIndex, Searcher
 from runsift.operators import documents as D
 from runsift.operators import postings as P
 from runsift.operators import counting, highlight, predicates, queryterms, rank, scoring
@@ -264,3 +264,68 @@ def test_consoles_are_cut_in_tasks_by_their_number(spark, docs, index, monkeypat
     monkeypatch.setattr(highlight, "TASK_CONSOLES", 2, raising=False)
     assert sorted(map(str, Searcher(index, docs).fragments(asked).collect())) == whole
     assert tasks[0] > 15
+
+
+# -- updates ------------------------------------------------------------------------------------
+
+
+def all_rows(index):
+    parts = (index.postings.drop("tp"), index.term_stats.drop("tp"), index.field_stats)
+    return [sorted(map(str, part.collect())) for part in parts]
+
+
+@pytest.fixture(scope="module")
+def outdated(docs):
+    return docs.where("number % 3 != 0").withColumn("c", F.concat(F.lit("outdated "), "c"))
+
+
+@pytest.fixture(scope="module")
+def stale(spark, outdated):
+    return SearchIndex.build(outdated, scratch_path(spark, "stale"), doc_buckets=4)
+
+
+def test_an_update_is_counted_and_read_without_a_shuffle_of_postings(spark, docs, index, outdated, stale, monkeypatch):
+    """What goes is not tokenised again, and very many removed keys are no broadcast."""
+    tokenised, inner = [], SearchIndex._postings_of
+    monkeypatch.setattr(SearchIndex, "_postings_of", lambda self, d, *a, **k: tokenised.append(d) or inner(self, d, *a, **k))
+    monkeypatch.setattr(index_tables, "fits_broadcast", lambda df: False)
+    updated = stale.update(outdated, docs, scratch_path(spark, "update"))
+    assert len(tokenised) == 1
+    below = plan(updated.posting_parts(bucketed=False)[0])
+    assert "ShuffledHashJoin" in below and "Sort " not in below
+    assert below.count("Exchange") == 1  # the keys'
+    assert all_rows(updated) == all_rows(index)
+
+
+def test_runs_without_a_key_are_counted_out_of_an_update(spark, docs):
+    odd = docs.limit(6).withColumn("number", F.when(F.col("number") > 2, F.col("number")))
+    built = SearchIndex.build(odd, scratch_path(spark, "odd"), doc_buckets=4)
+    updated = built.update(odd, odd, scratch_path(spark, "update"))
+    assert all_rows(updated)[1:] == all_rows(built)[1:]
+
+
+def test_an_update_spreads_only_its_pieces(spark, docs, outdated, monkeypatch):
+    registry = FieldRegistry()
+    registry.register_text_field("unittest", lambda runs: runs, persist=True)
+    stored, inner = [], SearchIndex._store_postings
+    monkeypatch.setattr(SearchIndex, "_store_postings", lambda self, rows: stored.append(plan(rows)) or inner(self, rows))
+    pieces = docs.where("number % 2 = 0").select("project", "number", F.lit("unittest").alias("field"), F.col("c").alias("text"))
+    of_old = pieces.join(outdated.select("project", "number"), ["project", "number"], "left_semi")
+    stale = SearchIndex.build(outdated, scratch_path(spark, "stale"), registry, doc_buckets=4, pieces=of_old)
+    for given in (pieces, None):
+        updated = stale.update(outdated, docs, scratch_path(spark, "update"), given)
+        top = stored[-1].split("Union")
+        assert len(top) > 1 and "Exchange" not in top[0]
+    built = SearchIndex.build(docs, scratch_path(spark, "whole"), registry, doc_buckets=4, pieces=of_old)
+    assert all_rows(updated) == all_rows(built)
+
+
+def test_layers_that_are_merged_are_written_once(spark, docs, index, outdated, stale, monkeypatch):
+    merged, inner = [], SearchIndex.merged
+    monkeypatch.setattr(SearchIndex, "merged", lambda self, *a: merged.append(a[1:]) or inner(self, *a))
+    now = stale
+    for low, high in ((0, 16), (16, 22), (22, 40)):
+        own = F.col("number").between(low, high - 1)
+        now = now.update_levelled(outdated.where(own), docs.where(own), scratch_path(spark, "update"))
+    assert merged == [(3,)] and now.n_layers() == 2
+    assert all_rows(now) == all_rows(index)
