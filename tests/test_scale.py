@@ -329,3 +329,21 @@ def test_layers_that_are_merged_are_written_once(spark, docs, index, outdated, s
         now = now.update_levelled(outdated.where(own), docs.where(own), scratch_path(spark, "update"))
     assert merged == [(3,)] and now.n_layers() == 2
     assert all_rows(now) == all_rows(index)
+
+
+def test_common_terms_of_wildcards_are_not_spread_by_term(spark, index, monkeypatch):
+    rows = [(1, "c", "*i*"), (1, "c", "b*"), (1, "c", "b*"), (1, "p", "*i*"), (2, "c", "?k"), (3, "c", "*"), (4, "c", "*y")]
+    asked = spark.createDataFrame(rows, "qid bigint, field string, pattern string")
+    whole = {tuple(r) for r in predicates.wildcard_match(index, asked).collect()}
+    monkeypatch.setattr(predicates, "BROADCAST_LIMIT_BYTES", 0)
+    monkeypatch.setattr(predicates, "fits_broadcast", lambda df: True)
+    monkeypatch.setattr(predicates, "_COMMON_PAIRS", 9)
+    split, inner = [], predicates._common_and_rare_hits
+
+    def hits(index, known, common, weight):
+        split.append((known.count(), common.count()))
+        return inner(index, known, common, weight)
+
+    monkeypatch.setattr(predicates, "_common_and_rare_hits", hits)
+    assert {tuple(r) for r in predicates.wildcard_match(index, asked).collect()} == whole
+    assert len(split) == 1 and 0 < split[0][1] < split[0][0]
